@@ -197,8 +197,8 @@ def overlay_union(spark, sf_dir):
 def distances(spark, sf_dir):
     pts = fx.points(spark, sf_dir).select("point_id", "geom")
     pairs = joins.spatial_join(pts, fx.cells(spark, sf_dir).select("id_cell", "geom"), "intersects", TILE)
-    pairs = layers.with_distance(pairs).withColumn("c", m.centroid(F.col("geom_b")))
-    far = m.distance_to_point(F.col("geom_a"), F.col("c.x"), F.col("c.y"))
+    pairs = layers.with_distance(pairs).withColumn("c", m.centroid("geom_b"))
+    far = m.distance_to_point("geom_a", F.col("c.x"), F.col("c.y"))
     return pairs.select(
         "point_id", "id_cell", F.round("distance", 6).alias("distance"), F.round(far, 6).alias("to_centre")
     )

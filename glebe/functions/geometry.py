@@ -10,13 +10,14 @@ four doubles and its overlay is plain arithmetic.
 * line     ``parts`` = segments (two vertices each)
 * point    ``parts`` = NULL, the box holds the point; a multi-point keeps its points
 
-The expressions name their arguments many times.  Pass column references (add the
-value with ``withColumn`` first) or bind an intermediate value with :func:`let`;
-passing a long expression would repeat it at every mention.
+The expressions name their arguments many times.  Pass column names (add the value
+with ``withColumn`` first) or bind an intermediate value with :func:`let`; passing a
+long expression would repeat it at every mention.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -48,6 +49,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def by_name(fn: Callable[..., Column]) -> Callable[..., Column]:
+    """Accept column names; the expression of the same names is built once and reused.
+
+    Building a geometry expression takes thousands of driver calls, an unresolved column
+    expression does not depend on the plan it is used in.
+    """
+    built: dict[tuple, Column] = {}
+
+    @functools.wraps(fn)
+    def call(*args: Column | str | float | Callable) -> Column:
+        columns = [F.col(a) if isinstance(a, str) else a for a in args]
+        if any(isinstance(a, Column) for a in args):
+            return fn(*columns)
+        if args not in built:
+            built[args] = fn(*columns)
+        return built[args]
+
+    return call
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 

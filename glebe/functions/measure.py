@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from glebe.functions import geometry as g
 
 
+@g.by_name
 def area(c: Column) -> Column:
     """Surface; 0 for lines, points and empty polygons, NULL for NULL."""
     box = (c.xmax - c.xmin) * (c.ymax - c.ymin)
@@ -20,6 +21,7 @@ def area(c: Column) -> Column:
     )
 
 
+@g.by_name
 def length(c: Column) -> Column:
     """Length of a line; 0 for other kinds."""
     total = F.aggregate(
@@ -34,6 +36,7 @@ def length(c: Column) -> Column:
     )
 
 
+@g.by_name
 def perimeter(c: Column) -> Column:
     """Outer and hole boundary: all edges less both sides of every shared stretch."""
 
@@ -55,6 +58,7 @@ def perimeter(c: Column) -> Column:
     )
 
 
+@g.by_name
 def compactness(c: Column) -> Column:
     """Area over perimeter, the sliver test; NULL for an empty outline."""
     return F.try_divide(area(c), perimeter(c))
@@ -91,6 +95,7 @@ def _ring_moment(r: Column) -> Column:
     return g.let(r, body)
 
 
+@g.by_name
 def centroid(c: Column) -> Column:
     """Centre of mass as ``struct<x, y>``: by area for polygons, by length for lines."""
 
@@ -135,6 +140,7 @@ def _segment_gap(px: Column, py: Column, e: Column) -> Column:
     )
 
 
+@g.by_name
 def distance_to_point(c: Column, px: Column, py: Column) -> Column:
     """Planar distance from a point to a geometry (0 inside a polygon)."""
 
@@ -162,6 +168,7 @@ def distance_to_point(c: Column, px: Column, py: Column) -> Column:
     )
 
 
+@g.by_name
 def distance(a: Column, b: Column) -> Column:
     """Planar distance between two geometries, one of which is a single point."""
     a_is_point = (a.kind == "point") & a.parts.isNull()
@@ -170,6 +177,7 @@ def distance(a: Column, b: Column) -> Column:
     )
 
 
+@g.by_name
 def shared_boundary_length(piece: Column, env: Column) -> Column:
     """Length of the outline of ``piece`` lying in the closed polygon ``env``."""
 

@@ -13,6 +13,7 @@ from glebe.functions import geometry as g
 from glebe.functions import measure as m
 
 
+@g.by_name
 def boxes_meet(a: Column, b: Column) -> Column:
     return (a.xmin <= b.xmax) & (b.xmin <= a.xmax) & (a.ymin <= b.ymax) & (b.ymin <= a.ymax)
 
@@ -24,22 +25,28 @@ def _rect_intersection(a: Column, b: Column) -> Column:
     return g.make("polygon", a.srid, F.when(flat, g.no_rings()), (x0, y0, x1, y1))
 
 
+@g.by_name
 def intersection(a: Column, b: Column) -> Column:
     """Shared surface (or stretch of line) of two geometries; empty when they only touch."""
     polygons = g.from_parts("polygon", a.srid, g.parts_intersection(g.rings(a), g.rings(b)))
-    line_a = g.from_parts("line", a.srid, g.lines_in_parts(a.parts, g.rings(b)))
-    line_b = g.from_parts("line", a.srid, g.lines_in_parts(b.parts, g.rings(a)))
+    # one of the two is a line: its segments, and the rings of the other
+    segments = F.when(a.kind == "line", a.parts).otherwise(b.parts)
+    surface = F.when(a.kind == "line", g.rings(b)).otherwise(g.rings(a))
+    lines = g.let(
+        F.struct(segments.alias("segs"), surface.alias("rings")),
+        lambda v: g.from_parts("line", a.srid, g.lines_in_parts(v.segs, v.rings)),
+    )
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast(g.GEOMETRY))
         .when(a.kind == "point", a)
         .when(b.kind == "point", b)
         .when(g.is_rect(a) & g.is_rect(b), _rect_intersection(a, b))
-        .when(a.kind == "line", line_a)
-        .when(b.kind == "line", line_b)
+        .when((a.kind == "line") | (b.kind == "line"), lines)
         .otherwise(polygons)
     )
 
 
+@g.by_name
 def difference(a: Column, b: Column) -> Column:
     """``a`` without ``b``; ``a`` itself when ``b`` is NULL."""
     apart = ~boxes_meet(a, b) | g.is_empty(b)
@@ -53,6 +60,7 @@ def difference(a: Column, b: Column) -> Column:
     )
 
 
+@g.by_name
 def erase_all(a: Column, others: Column) -> Column:
     """``a`` without every geometry of an array."""
     cut = F.aggregate(
@@ -63,6 +71,7 @@ def erase_all(a: Column, others: Column) -> Column:
     )
 
 
+@g.by_name
 def union(a: Column, b: Column) -> Column:
     """Both surfaces; a NULL side leaves the other."""
     return (
@@ -81,6 +90,7 @@ def union(a: Column, b: Column) -> Column:
     )
 
 
+@g.by_name
 def union_of(geoms: Column) -> Column:
     """Union of an array of geometries of one kind."""
     first = F.get(geoms, F.lit(0))
@@ -140,6 +150,7 @@ def _items_meet(a: Column, b: Column) -> Column:
     return boxes & ~_separated(a, b) & ~_separated(b, a)
 
 
+@g.by_name
 def intersects(a: Column, b: Column) -> Column:
     """At least one common point; touching counts."""
     simple_a = a.parts.isNull()
@@ -150,6 +161,7 @@ def intersects(a: Column, b: Column) -> Column:
     return boxes_meet(a, b) & F.when(simple_a & simple_b, F.lit(True)).otherwise(general)
 
 
+@g.by_name
 def shared_area(a: Column, b: Column) -> Column:
     w = F.least(a.xmax, b.xmax) - F.greatest(a.xmin, b.xmin)
     h = F.least(a.ymax, b.ymax) - F.greatest(a.ymin, b.ymin)
@@ -162,6 +174,7 @@ def shared_area(a: Column, b: Column) -> Column:
     return F.when(g.is_rect(a) & g.is_rect(b), rect).otherwise(general)
 
 
+@g.by_name
 def overlaps(a: Column, b: Column) -> Column:
     """Interiors meet and neither polygon contains the other."""
     least = F.least(m.area(a), m.area(b))
@@ -170,6 +183,7 @@ def overlaps(a: Column, b: Column) -> Column:
     )
 
 
+@g.by_name
 def contains(a: Column, b: Column) -> Column:
     """``b`` lies in ``a``."""
     in_box = (
@@ -189,6 +203,7 @@ PREDICATES = {"intersects": intersects, "overlaps": overlaps, "contains": contai
 # --------------------------------------------------------------------------- reshaping
 
 
+@g.by_name
 def erode(c: Column, d: float) -> Column:
     """Negative buffer: the surface farther than ``d`` from the outline (mitred corners)."""
     x0, y0, x1, y1 = c.xmin + d, c.ymin + d, c.xmax - d, c.ymax - d
@@ -213,6 +228,7 @@ def erode(c: Column, d: float) -> Column:
     )
 
 
+@g.by_name
 def fill_holes(c: Column) -> Column:
     """Polygon of the outer ring; NULL when the geometry is not one connected polygon."""
     x0, y0, x1, y1 = c.xmin - 1, c.ymin - 1, c.xmax + 1, c.ymax + 1
@@ -244,6 +260,7 @@ def fill_holes(c: Column) -> Column:
     )
 
 
+@g.by_name
 def polygons_of(c: Column) -> Column:
     """Array with one geometry per connected polygon."""
     groups = F.transform(g.components(c.parts), lambda p: g.from_parts("polygon", c.srid, p))
@@ -252,6 +269,7 @@ def polygons_of(c: Column) -> Column:
     ).otherwise(groups)
 
 
+@g.by_name
 def kind_name(c: Column) -> Column:
     """Polygon, MultiPolygon, LineString, MultiLineString, Point, MultiPoint or Empty."""
     many = F.size(c.parts) > 1

@@ -80,6 +80,7 @@ def to_degrees(x: Column, y: Column) -> Column:
     )
 
 
+@g.by_name
 def transform_to(c: Column, dest: int) -> Column:
     """Geometry in the other coordinate system; an unknown system is an error."""
     if dest not in (4326, 2154):

@@ -21,6 +21,7 @@ def coordinate_lists(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1)), _vertices)
 
 
+@g.by_name
 def parse(text: Column, srid: int) -> Column:
     """Polygon, line and point text, each single or multi, and linear rings; else NULL."""
     kind = F.upper(F.regexp_extract(text, r"^\s*(?i:srid=\d+;)?\s*([A-Za-z]+)", 1))
@@ -151,6 +152,7 @@ def _slab(es: Column, band: Column) -> Column:
     return g.let(cuts, trapezoids)
 
 
+@g.by_name
 def polygon_of_rings(rings: Column, srid: Column) -> Column:
     """Polygon of raw rings (outer, holes, self-crossing alike) by the even-odd rule."""
 
@@ -181,6 +183,7 @@ def _list_text(vertices: Column) -> Column:
     return F.concat(F.lit("("), F.array_join(F.transform(vertices, _xy), ", "), F.lit(")"))
 
 
+@g.by_name
 def render(c: Column) -> Column:
     """Coordinate text; a polygon of several convex parts lists its parts."""
 

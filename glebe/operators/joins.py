@@ -91,11 +91,11 @@ def spatial_join(
     home = (F.floor(F.greatest(ga.xmin, gb.xmin) / tile) == F.col("_tx")) & (
         F.floor(F.greatest(ga.ymin, gb.ymin) / tile) == F.col("_ty")
     )
-    near = o.boxes_meet(ga, gb) & home
+    near = o.boxes_meet("geom_a", "geom_b") & home
     if extra is not None:
         near = near & extra
     pairs = left.join(right, keys).filter(near)
-    return pairs.filter(o.PREDICATES[predicate](ga, gb)).drop(*keys)
+    return pairs.filter(o.PREDICATES[predicate]("geom_a", "geom_b")).drop(*keys)
 
 
 def overlap_pairs(layer: DataFrame, tile: float = 200.0, hot_rows: int | None = None) -> DataFrame:
@@ -123,7 +123,7 @@ def overlap_pairs(layer: DataFrame, tile: float = 200.0, hot_rows: int | None =
         "_i1",
         "_h2",
         "_i2",
-        o.intersection(F.col("geom_a"), F.col("geom_b")).alias("inter_geom"),
+        o.intersection("geom_a", "geom_b").alias("inter_geom"),
     )
     members = shaped.select("_h", "_i", "fid")
     return (
@@ -149,7 +149,7 @@ def overlap_pairs_between(
         hot_rows,
     )
     return pairs.select(
-        "id1", "id2", o.intersection(F.col("geom_a"), F.col("geom_b")).alias("inter_geom")
+        "id1", "id2", o.intersection("geom_a", "geom_b").alias("inter_geom")
     )
 
 
@@ -240,9 +240,8 @@ def knn_join(
     by = list(by)
     if levels is None:
         levels = _pyramid_height(cells, points, tile)
-    at = m.centroid(F.col("geom"))
-    sites = (
-        cells.withColumn("_c", at)
+        sites = (
+        cells.withColumn("_c", m.centroid("geom"))
         .select(*[c for c in cells.columns if c != "geom"], F.col("_c.x").alias("_cx"), F.col("_c.y").alias("_cy"))
     )
     pts = points.filter(F.col("geom").isNotNull()).withColumn(
@@ -264,14 +263,17 @@ def knn_join(
     counts = parents.groupBy(*by, "_l", "_px", "_py").agg(F.sum("_n").alias("_n"))
 
     width = F.lit(float(tile)) * up
-    ring = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+
+    def around(name: str, n: int) -> Column:
+        return F.explode(F.sequence(F.col(name) - n, F.col(name) + n))
+
     spots = sites.select("id_cell", "_cx", "_cy").distinct()
     asked = (
         spots.select("*", level)
         .withColumn("_ox", F.floor(F.col("_cx") / width))
         .withColumn("_oy", F.floor(F.col("_cy") / width))
-        .withColumn("_px", F.col("_ox") + ring)
-        .withColumn("_py", F.col("_oy") + ring)
+        .withColumn("_px", around("_ox", 1))
+        .withColumn("_py", around("_oy", 1))
     )
     # the top level stands for "all there is" when a group has fewer than k points
     enough = (F.col("_n3") >= k) | (F.col("_l") == levels)
@@ -293,11 +295,10 @@ def knn_join(
     )
     reach = F.when(F.col("_n3") >= k, F.hypot(far_x, far_y)).otherwise(F.lit(float("inf")))
     # sqrt(8) tile widths at most: three tiles to each side
-    wide = F.explode(F.sequence(F.lit(-3), F.lit(3)))
     block = (
         chosen.withColumn("_r", reach)
-        .withColumn("_px", F.col("_ox") + wide)
-        .withColumn("_py", F.col("_oy") + wide)
+        .withColumn("_px", around("_ox", 3))
+        .withColumn("_py", around("_oy", 3))
         .drop("_ox", "_oy", "_n3")
     )
 

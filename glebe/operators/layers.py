@@ -23,11 +23,11 @@ MEASURES = {
 
 def layer_from_wkt(df: DataFrame, wkt_col: str, srid: int, out: str = "geom") -> DataFrame:
     """Geometry column from coordinate text of any of the seven usual kinds."""
-    return df.withColumn(out, wkt.parse(F.col(wkt_col), srid))
+    return df.withColumn(out, wkt.parse(wkt_col, srid))
 
 
 def layer_to_wkt(layer: DataFrame, out: str = "wkt", geom: str = "geom") -> DataFrame:
-    return layer.withColumn(out, wkt.render(F.col(geom)))
+    return layer.withColumn(out, wkt.render(geom))
 
 
 def layer_from_xy(
@@ -38,11 +38,11 @@ def layer_from_xy(
 
 
 def with_kind(layer: DataFrame, out: str = "kind", geom: str = "geom") -> DataFrame:
-    return layer.withColumn(out, o.kind_name(F.col(geom)))
+    return layer.withColumn(out, o.kind_name(geom))
 
 
 def keep_kinds(layer: DataFrame, kinds: Sequence[str], geom: str = "geom") -> DataFrame:
-    return layer.filter(o.kind_name(F.col(geom)).isin(list(kinds)))
+    return layer.filter(o.kind_name(geom).isin(list(kinds)))
 
 
 def assign_srid(layer: DataFrame, srid: int, geom: str = "geom") -> DataFrame:
@@ -52,35 +52,35 @@ def assign_srid(layer: DataFrame, srid: int, geom: str = "geom") -> DataFrame:
 
 def reproject(layer: DataFrame, dest: int, geom: str = "geom") -> DataFrame:
     """Move coordinates between 4326 and 2154; the same system is left alone."""
-    return layer.withColumn(geom, project.transform_to(F.col(geom), dest))
+    return layer.withColumn(geom, project.transform_to(geom, dest))
 
 
 def repair(layer: DataFrame, geom: str = "geom", rings: str = "rings") -> DataFrame:
     """Geometry of raw, possibly self-crossing rings by the even-odd rule."""
-    return layer.withColumn(geom, wkt.polygon_of_rings(F.col(rings), F.col("srid")))
+    return layer.withColumn(geom, wkt.polygon_of_rings(rings, "srid"))
 
 
 def measure(layer: DataFrame, what: str, out: str | None = None, geom: str = "geom") -> DataFrame:
-    return layer.withColumn(out or what, MEASURES[what](F.col(geom)))
+    return layer.withColumn(out or what, MEASURES[what](geom))
 
 
 def overlay_intersection(
     pairs: DataFrame, a: str = "geom_a", b: str = "geom_b", out: str = "geom"
 ) -> DataFrame:
     """Shared part of every joined pair; pairs that only touch keep an empty geometry."""
-    return pairs.withColumn(out, o.intersection(F.col(a), F.col(b)))
+    return pairs.withColumn(out, o.intersection(a, b))
 
 
 def overlay_union(
     pairs: DataFrame, a: str = "geom_a", b: str = "geom_b", out: str = "geom"
 ) -> DataFrame:
-    return pairs.withColumn(out, o.union(F.col(a), F.col(b)))
+    return pairs.withColumn(out, o.union(a, b))
 
 
 def with_distance(
     pairs: DataFrame, a: str = "geom_a", b: str = "geom_b", out: str = "distance"
 ) -> DataFrame:
-    return pairs.withColumn(out, m.distance(F.col(a), F.col(b)))
+    return pairs.withColumn(out, m.distance(a, b))
 
 
 def erase(
@@ -105,7 +105,7 @@ def erase(
                 F.col("_n") > 1, F.transform("_shapes", lambda s: o.erode(s, shrink_many))
             ).otherwise(F.col("_shapes")),
         )
-    return joined.withColumn(geom, o.erase_all(F.col(geom), F.col("_shapes"))).drop("_shapes", "_n")
+    return joined.withColumn(geom, o.erase_all(geom, "_shapes")).drop("_shapes", "_n")
 
 
 def dissolve(
@@ -122,30 +122,30 @@ def dissolve(
     first = (
         spread.groupBy(*keys, "_b")
         .agg(F.collect_set(geom).alias("_g"))
-        .withColumn("_u", o.union_of(F.col("_g")))
+        .withColumn("_u", o.union_of("_g"))
     )
     return (
         first.groupBy(*keys)
         .agg(F.collect_list("_u").alias("_g"))
-        .withColumn(geom, o.union_of(F.col("_g")))
+        .withColumn(geom, o.union_of("_g"))
         .drop("_g")
     )
 
 
 def erode(layer: DataFrame, d: float, geom: str = "geom") -> DataFrame:
-    return layer.withColumn(geom, o.erode(F.col(geom), d))
+    return layer.withColumn(geom, o.erode(geom, d))
 
 
 def fill_holes(layer: DataFrame, geom: str = "geom") -> DataFrame:
-    return layer.withColumn(geom, o.fill_holes(F.col(geom)))
+    return layer.withColumn(geom, o.fill_holes(geom))
 
 
 def shared_boundary_length(
     pairs: DataFrame, piece: str, env: str, out: str = "shared_length"
 ) -> DataFrame:
-    return pairs.withColumn(out, m.shared_boundary_length(F.col(piece), F.col(env)))
+    return pairs.withColumn(out, m.shared_boundary_length(piece, env))
 
 
 def explode_polygons(layer: DataFrame, geom: str = "geom") -> DataFrame:
     """One row per connected polygon; other kinds pass through."""
-    return layer.withColumn(geom, F.explode(o.polygons_of(F.col(geom))))
+    return layer.withColumn(geom, F.explode(o.polygons_of(geom)))

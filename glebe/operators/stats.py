@@ -28,14 +28,14 @@ FEATURE = ["date_result", "value_num", "value_str", "geom"]
 def _sized(data: DataFrame, size) -> DataFrame:
     return (
         data.select(*FEATURE)
-        .withColumn("var_size", size(F.col("geom")))
+        .withColumn("var_size", size("geom"))
         .withColumn("density", F.try_divide(F.col("value_num"), F.col("var_size")))
     )
 
 
 def _pieces(cells: DataFrame, data: DataFrame, tile: float, hot_rows: int | None) -> DataFrame:
     pairs = spatial_join(data, cells.select("id_cell", "cell_area", "geom"), "intersects", tile, hot_rows)
-    cut = o.intersection(F.col("geom_b"), F.col("geom_a"))
+    cut = o.intersection("geom_b", "geom_a")
     return pairs.withColumn("geom", cut).drop("geom_a", "geom_b")
 
 
@@ -60,7 +60,7 @@ def polygon_stats(
     ``'feature'`` keeps every distinct feature.  A feature that only touches a cell counts
     with zero area.
     """
-    sized_cells = cells.select("id_cell", "geom").withColumn("cell_area", m.area(F.col("geom")))
+    sized_cells = cells.select("id_cell", "geom").withColumn("cell_area", m.area("geom"))
     features = _sized(data, m.area)
     if dissolve_by == "feature" or hot_rows is not None:
         # copies of a feature add nothing to a union and would all meet in one place
@@ -70,7 +70,7 @@ def polygon_stats(
         keys = ["id_cell", "date_result", "value_num", "value_str", "var_size", "density", "cell_area"]
         pieces = dissolve(pieces, keys)
     return _finish(
-        pieces.withColumn("inter", F.coalesce(m.area(F.col("geom")), F.lit(0.0))).withColumn(
+        pieces.withColumn("inter", F.coalesce(m.area("geom"), F.lit(0.0))).withColumn(
             "cell_prop", F.try_divide(F.col("inter"), F.col("cell_area"))
         )
     )
@@ -93,7 +93,7 @@ def line_stats(
     if dissolve_by == "value":
         keys = ["id_cell", "date_result", "value_num", "value_str", "var_size", "density"]
         pieces = dissolve(pieces, keys)
-    measured = pieces.withColumn("inter", F.coalesce(m.length(F.col("geom")), F.lit(0.0))).drop("geom")
+    measured = pieces.withColumn("inter", F.coalesce(m.length("geom"), F.lit(0.0))).drop("geom")
     # totals are pre-aggregated per map task; a window would send a full cell to one task
     totals = (
         measured.groupBy("id_cell", "date_result")
