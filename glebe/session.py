@@ -46,3 +46,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         )
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New folder name in the shared checkpoint folder (a temporary one where none is set)."""
+    import uuid
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
+    base = base or tempfile.mkdtemp(prefix="glebe-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -5,11 +5,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 import time
+from collections import Counter
 
 import duckdb
-import pandas as pd
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -25,32 +26,30 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def normal(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf[sorted(pdf.columns)].copy()
-    for c in pdf.columns:
-        kind = str(pdf[c].dtype)
-        if "date" in kind:
-            pdf[c] = pdf[c].astype("datetime64[us]").astype(str)
-        elif kind.startswith(("int", "Int", "uint")):
-            pdf[c] = pdf[c].astype("Int64").astype(str)
-        elif kind.startswith("float"):
-            pdf[c] = pdf[c].astype(float).add(0.0).map(repr)
-        else:
-            # a date object and a midnight timestamp print alike
-            pdf[c] = pdf[c].map(lambda v: "None" if v is None or v is pd.NA else str(v))
-    return pdf.sort_values(list(pdf.columns)).reset_index(drop=True)
-
-
-def difference(spark_pdf: pd.DataFrame, sql_pdf: pd.DataFrame) -> str | None:
-    if sorted(spark_pdf.columns) != sorted(sql_pdf.columns):
-        return f"columns {sorted(spark_pdf.columns)} / {sorted(sql_pdf.columns)}"
-    a, b = normal(spark_pdf), normal(sql_pdf)
-    if len(a) != len(b):
-        return f"rows {len(a)} / {len(b)}"
-    bad = (a != b).any(axis=1)
-    if bad.any():
-        return f"{int(bad.sum())} rows differ:\n{a[bad].head(4)}\n{b[bad].head(4)}"
-    return None
+def text(v: object) -> str:
+    if isinstance(v, float):
+        return repr(v + 0.0)
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    return str(v)
+
+
+def normal(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(text(r[i]) for i in order) for r in rows)
+
+
+def difference(columns: list[str], rows: list, sql_columns: list[str], sql_rows: list) -> str | None:
+    if sorted(columns) != sorted(sql_columns):
+        return f"columns {sorted(columns)} / {sorted(sql_columns)}"
+    a, b = normal(columns, rows), normal(sql_columns, sql_rows)
+    if a == b:
+        return None
+    only_a, only_b = Counter(a) - Counter(b), Counter(b) - Counter(a)
+    return (
+        f"rows {len(a)} / {len(b)}; {sum(only_a.values())} only in Spark {list(only_a)[:3]}, "
+        f"{sum(only_b.values())} only in SQL {list(only_b)[:3]}"
+    )
 
 
 def types(spark_df, rel) -> str | None:
@@ -83,14 +82,13 @@ def main(argv: list[str]) -> int:
         t = time.time()
         try:
             df = queries[n](spark, sf_dir)
-            got = df.toPandas()
+            got = [tuple(r) for r in df.collect()]
             t1 = time.time()
             if n not in oracles:
                 print(f"rows {n}: {len(got)} ({t1 - t:.1f}s)", flush=True)
                 continue
             rel = con.sql(oracles[n])
-            want = rel.df()
-            problem = difference(got, want)
+            problem = difference(df.columns, got, rel.columns, rel.fetchall())
             note = types(df, rel)
             failed += problem is not None
             print(
