@@ -221,44 +221,54 @@ def half_planes(ring: Column) -> Column:
     )
 
 
-def opposite(h: Column) -> Column:
-    return F.struct((-h.nx).alias("nx"), (-h.ny).alias("ny"), (-h.c).alias("c"))
+def side(h: Column, p: Column) -> Column:
+    """Signed distance of a vertex from a cutting line."""
+    return h.nx * p.x + h.ny * p.y + h.c
 
 
-def side(h: Column, p: Column) -> Column:
-    """Signed distance of a vertex from a cutting line, snapped to zero."""
-    return let(
-        h.nx * p.x + h.ny * p.y + h.c,
-        lambda d: F.when(F.abs(d) < SNAP, F.lit(0.0)).otherwise(d),
+def _measured(ring: Column, h: Column) -> Column:
+    return F.transform(
+        ring, lambda p: F.struct(p.x.alias("x"), p.y.alias("y"), side(h, p).alias("s"))
     )
 
 
-def clip(ring: Column, h: Column) -> Column:
-    """Part of a convex ring on the inner side of one half-plane."""
+def _one_side(v: Column, sign: int) -> Column:
+    """Vertices of a measured ring on one side of the line, with the crossing points."""
 
     def cross(p: Column, q: Column) -> Column:
         f = p.s / (p.s - q.s)
         return F.struct((p.x + (q.x - p.x) * f).alias("x"), (p.y + (q.y - p.y) * f).alias("y"))
 
+    def inner(p: Column) -> Column:
+        return p.s > SNAP if sign > 0 else p.s < -SNAP
+
+    def outer(p: Column) -> Column:
+        return p.s < -SNAP if sign > 0 else p.s > SNAP
+
     def keep(p: Column, q: Column) -> Column:
         own = F.struct(p.x.alias("x"), p.y.alias("y"))
         return (
-            F.when(
-                p.s >= 0,
-                F.when((p.s > 0) & (q.s < 0), F.array(own, cross(p, q))).otherwise(F.array(own)),
-            )
-            .when(q.s > 0, F.array(cross(p, q)))
-            .otherwise(no_points())
+            F.when(outer(p), F.when(inner(q), F.array(cross(p, q))).otherwise(no_points()))
+            .when(inner(p) & outer(q), F.array(own, cross(p, q)))
+            .otherwise(F.array(own))
         )
 
-    measured = F.transform(
-        ring, lambda p: F.struct(p.x.alias("x"), p.y.alias("y"), side(h, p).alias("s"))
-    )
+    return F.flatten(F.zip_with(v, turn(v), keep))
+
+
+def _all_in(v: Column) -> Column:
+    return F.forall(v, lambda p: p.s >= -SNAP)
+
+
+def _all_out(v: Column) -> Column:
+    return F.forall(v, lambda p: p.s <= SNAP)
+
+
+def clip(ring: Column, h: Column) -> Column:
+    """Part of a convex ring on the inner side of one half-plane."""
     return let(
-        measured,
-        lambda v: F.when(F.forall(v, lambda p: p.s >= 0), F.transform(v, lambda p: point(p.x, p.y)))
-        .when(F.forall(v, lambda p: p.s <= 0), no_points())
-        .otherwise(F.flatten(F.zip_with(v, turn(v), keep))),
+        _measured(ring, h),
+        lambda v: F.when(_all_in(v), ring).when(_all_out(v), no_points()).otherwise(_one_side(v, 1)),
     )
 
 
@@ -274,14 +284,27 @@ def peel(ring: Column, planes: Column) -> Column:
     """Convex ring minus a convex ring given by its half-planes: convex pieces."""
 
     def step(s: Column, h: Column) -> Column:
-        outside = F.filter(F.array(clip(s.rest, opposite(h))), has_surface)
-        return F.struct(clip(s.rest, h).alias("rest"), F.concat(s.out, outside).alias("out"))
+        def state(rest: Column, out: Column) -> Column:
+            return F.struct(rest.alias("rest"), out.alias("out"))
+
+        def split(v: Column) -> Column:
+            outside = F.filter(F.array(_one_side(v, -1)), has_surface)
+            return (
+                F.when(_all_in(v), s)
+                .when(_all_out(v), state(no_points(), no_rings()))
+                .otherwise(state(_one_side(v, 1), F.concat(s.out, outside)))
+            )
+
+        return let(_measured(s.rest, h), split)
 
     start = F.struct(ring.cast(RING).alias("rest"), no_rings().alias("out"))
-    return F.when(
-        let(clip_all(ring, planes), has_surface),
-        F.aggregate(planes, start, step, lambda s: s.out),
-    ).otherwise(F.array(ring))
+    # nothing left inside: the two do not overlap and the ring stays in one piece
+    return F.aggregate(
+        planes,
+        start,
+        step,
+        lambda s: F.when(has_surface(s.rest), s.out).otherwise(F.array(ring)),
+    )
 
 
 def parts_minus(parts: Column, other: Column) -> Column:
@@ -333,9 +356,12 @@ def inside_span(e: Column, planes: Column) -> Column:
                 .otherwise(s)
             )
 
-        ends = F.struct(
-            side(h, point(e.x1, e.y1)).alias("d0"), side(h, point(e.x2, e.y2)).alias("d1")
-        )
+        def snapped(x: Column, y: Column) -> Column:
+            return let(
+                h.nx * x + h.ny * y + h.c, lambda d: F.when(F.abs(d) < SNAP, 0.0).otherwise(d)
+            )
+
+        ends = F.struct(snapped(e.x1, e.y1).alias("d0"), snapped(e.x2, e.y2).alias("d1"))
         return let(ends, cut)
 
     start = F.struct(F.lit(0.0).alias("lo"), e.len.cast("double").alias("hi"))
@@ -499,7 +525,26 @@ def rings_touch(a: Column, b: Column) -> Column:
         span = let(collinear_span(e, f, False), lambda s: s.hi - s.lo > TOUCH)
         return F.coalesce(span, F.lit(False))
 
-    return let(edges(b), lambda fs: F.exists(edges(a), lambda e: F.exists(fs, lambda f: shared(e, f))))
+    meet = let(
+        F.struct(ring_box(a).alias("a"), ring_box(b).alias("b")),
+        lambda v: (v.a.x0 <= v.b.x1 + TOUCH)
+        & (v.b.x0 <= v.a.x1 + TOUCH)
+        & (v.a.y0 <= v.b.y1 + TOUCH)
+        & (v.b.y0 <= v.a.y1 + TOUCH),
+    )
+    return meet & let(
+        edges(b), lambda fs: F.exists(edges(a), lambda e: F.exists(fs, lambda f: shared(e, f)))
+    )
+
+
+def ring_box(ring: Column) -> Column:
+    xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
+    return F.struct(
+        F.array_min(xs).alias("x0"),
+        F.array_min(ys).alias("y0"),
+        F.array_max(xs).alias("x1"),
+        F.array_max(ys).alias("y1"),
+    )
 
 
 def components(parts: Column) -> Column:
@@ -525,3 +570,44 @@ def components(parts: Column) -> Column:
         )
 
     return F.aggregate(parts, none, step)
+
+
+def euler_number(parts: Column) -> Column:
+    """Vertices - edges + faces of the closed union: pieces minus holes.
+
+    Edges are split where another part's vertex lies on them, so a shared stretch counts
+    once; positions are compared on a 0.01 mm lattice.
+    """
+
+    def at(x: Column, y: Column) -> Column:
+        return F.struct(F.round(x, 5).alias("x"), F.round(y, 5).alias("y"))
+
+    def count(b: Column) -> Column:
+        def stretches(e: Column) -> Column:
+            inside = F.filter(
+                F.transform(
+                    b.vs,
+                    lambda p: F.when(
+                        F.abs((p.x - e.x1) * e.uy - (p.y - e.y1) * e.ux) < 1e-5,
+                        (p.x - e.x1) * e.ux + (p.y - e.y1) * e.uy,
+                    ),
+                ),
+                lambda t: t.isNotNull() & (t > 2e-5) & (t < e.len - 2e-5),
+            )
+
+            def middles(ts: Column) -> Column:
+                ends = F.concat(ts, F.array(e.len))
+                starts = F.concat(F.array(F.lit(0.0)), ts)
+                return F.zip_with(
+                    starts,
+                    ends,
+                    lambda lo, hi: at(e.x1 + e.ux * (lo + hi) / 2, e.y1 + e.uy * (lo + hi) / 2),
+                )
+
+            return let(F.array_sort(inside), middles)
+
+        halves = F.array_distinct(F.flatten(F.transform(b.es, stretches)))
+        return F.size(b.vs) - F.size(halves) + F.size(parts)
+
+    vertices = F.array_distinct(F.transform(F.flatten(parts), lambda p: at(p.x, p.y)))
+    return let(F.struct(vertices.alias("vs"), all_edges(parts).alias("es")), count)

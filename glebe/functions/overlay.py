@@ -256,6 +256,8 @@ def fill_holes(c: Column) -> Column:
         .when(F.size(c.parts) == 1, c)
         .when(F.size(g.components(c.parts)) > 1, F.lit(None).cast(g.GEOMETRY))
         .when(F.size(c.parts) == 2, c)
+        # one piece and Euler number one: no hole to look for
+        .when(g.euler_number(c.parts) == 1, c)
         .otherwise(filled)
     )
 

@@ -72,7 +72,7 @@ def _oriented(ring: Column) -> Column:
 
 def _is_convex(ring: Column) -> Column:
     return F.forall(
-        g.half_planes(ring), lambda h: F.forall(ring, lambda p: g.side(h, p) >= 0)
+        g.half_planes(ring), lambda h: F.forall(ring, lambda p: g.side(h, p) >= -g.SNAP)
     )
 
 
