@@ -291,7 +291,7 @@ NUM = {
     "A8_md_prop_norm": (
         "md_prop_norm",
         "CASE WHEN sum(cell_prop)<>0 THEN sum(value_num*cell_prop)/sum(cell_prop) END",
-        6,
+        9,
     ),
     "A9_tot_dens": ("tot_dens", "sum(cellvalue_density)", 6),
     "A10_val_sum": ("val_sum", "sum(value_num)", 6),

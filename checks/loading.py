@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import register
 from glebe import fixtures as fx
 from glebe.functions import measure as m
+from glebe.functions import project
 from glebe.session import scratch_path
 from glebe.sources import delimited, sinks, typing, vector
 
@@ -155,9 +156,9 @@ def geom_by_key(spark, sf_dir):
     return out.select("k", "line", F.col("geom.xmin").alias("x"))
 
 
-# closed form of the projection, checked to the millimetre
-_E = "0.0818191910428158"
-_N, _C, _RHO = "0.725607765053267", "11754255.426096", "6055612.0498766"
+# the projection through the isometric latitude
+_E, _N = repr(project.ECC), repr(project.CONE)
+_C, _NORTH = repr(project.SCALE), repr(project.FALSE_NORTHING + project.RHO_0)
 _PHI = "radians(lat)"
 _ISO = f"(ln(tan(pi()/4+{_PHI}/2))-{_E}/2*ln((1+{_E}*sin({_PHI}))/(1-{_E}*sin({_PHI}))))"
 _R = f"{_C}*exp(-{_N}*{_ISO})"
@@ -167,7 +168,7 @@ _TH = f"{_N}*radians(lon-3)"
 @register(
     "S11_G5_geom_from_xy",
     f"""WITH p AS (SELECT c_custkey AS id, -4.0+(c_custkey*7919%1300)/100.0::DOUBLE AS lon, 42.0+(c_custkey*31%900)/100.0::DOUBLE AS lat FROM customer)
-SELECT id, round(700000+{_R}*sin({_TH}),3) AS x, round(12655612.0498766-{_R}*cos({_TH}),3) AS y FROM p""",
+SELECT id, round(700000+{_R}*sin({_TH}),3) AS x, round({_NORTH}-{_R}*cos({_TH}),3) AS y FROM p""",
 )
 def geom_xy(spark, sf_dir):
     k = F.col("c_custkey")

@@ -41,6 +41,7 @@ GEOMETRY = T.StructType(
 
 SNAP = 1e-7  # metres: a vertex this close to a cutting line lies on it
 MIN_PART = 1e-6  # square metres: smaller leftovers of a cut carry no surface
+SHORT = 1e-5  # metres: the direction of a shorter edge is noise, it bounds nothing
 TOUCH = 1e-6  # metres: shortest shared edge that joins two parts
 
 
@@ -181,7 +182,7 @@ def ring_area(ring: Column) -> Column:
 
 
 def edges(ring: Column) -> Column:
-    """Directed edges with unit direction and length; zero-length edges are left out."""
+    """Directed edges with unit direction and length; negligible edges are left out."""
 
     def edge(p: Column, q: Column) -> Column:
         return let(
@@ -197,10 +198,9 @@ def edges(ring: Column) -> Column:
             ),
         )
 
-    # NULL division (equal vertices) is filtered together with the edge
     pairs = F.filter(
         F.zip_with(ring, turn(ring), lambda p, q: F.struct(p.alias("p"), q.alias("q"))),
-        lambda e: (e.p.x != e.q.x) | (e.p.y != e.q.y),
+        lambda e: (F.abs(e.p.x - e.q.x) > SHORT) | (F.abs(e.p.y - e.q.y) > SHORT),
     )
     return F.transform(pairs, lambda e: edge(e.p, e.q))
 

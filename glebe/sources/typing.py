@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -70,8 +71,17 @@ def _filled(name: str) -> Column:
     return F.when(F.length(c) > 0, c)
 
 
+def shape(fmt: str) -> str:
+    """Pattern of the texts a format can read."""
+    part = {"MMM": r"\p{L}+\.?", "yyyy": r"\d{4}", "d": r"\d{1,2}", "M": r"\d{1,2}", ".": r"\."}
+    part |= {c: r"\d{1,2}" for c in "Hms"}
+    return "^" + "".join(part.get(x, x) for x in re.findall(r"MMM|yyyy|.", fmt)) + "$"
+
+
 def _parses(v: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(v, F.lit(fmt)).isNotNull()
+    # failed parses are slow, so only texts of the right shape are tried
+    parsed = F.try_to_timestamp(v, F.lit(fmt)).isNotNull()
+    return F.when(v.rlike(shape(fmt)), parsed).otherwise(F.lit(False))
 
 
 def _tests(name: str) -> dict[str, Column]:
