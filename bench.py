@@ -7,7 +7,7 @@ import os
 import time
 
 from glebe import fixtures as fx
-from glebe.operators import joins, modes, parcels, raster, stats, vintages
+from glebe.operators import joins, modes, parcels, raster, stats
 from glebe.session import cut_lineage, local_session
 from pyspark.sql import functions as F
 
@@ -50,19 +50,15 @@ def main() -> None:
     def zonal():
         run(raster.zonal_stats(fx.pixels(spark, SF_DIR), cells.withColumnRenamed("id_cell", "fid"), 4, 40.0))
 
+    def envelopes():
+        layer = fx.parcels_a(spark, SF_DIR)
+        pairs = cut_lineage(joins.overlap_pairs(layer))
+        run(parcels.minimal_envelope(layer, joins.mirrored(pairs).select("fid", "inter_geom"), gap=0.0))
+
+    # minutes at the default scale, so only on request (BENCH_ONLY=P_clean_parcels)
     def clean():
         run(parcels.clean_parcels(fx.parcels_a(spark, SF_DIR)))
 
-    def kept():
-        new, old = fx.parcels_a(spark, SF_DIR), fx.parcels_b(spark, SF_DIR)
-        pairs = cut_lineage(joins.overlap_pairs_between(new, old))
-        one = pairs.select(F.col("id1").alias("fid"), "inter_geom")
-        two = pairs.select(F.col("id2").alias("fid"), "inter_geom")
-        env1 = cut_lineage(parcels.minimal_envelope(new, one, "fid", 25.0))
-        env2 = cut_lineage(parcels.minimal_envelope(old, two, "fid", 25.0))
-        decided = cut_lineage(vintages.classify_pairs(pairs, env1, env2))
-        run(vintages.resolve_kept(decided, env1, env2))
-
     jobs = {
         "I1_weighted_mean": weighted_mean,
         "I1b_per_feature": per_feature,
@@ -72,12 +68,12 @@ def main() -> None:
         "I4_idw": nearest,
         "X6_haralick": texture,
         "X7_zonal": zonal,
-        "P_clean_parcels": clean,
-        "T7_resolve_kept": kept,
+        "P4_envelopes": envelopes,
     }
     only = os.environ.get("BENCH_ONLY")
     if only:
-        jobs = {k: v for k, v in jobs.items() if k in only.split(",")}
+        every = {**jobs, "P_clean_parcels": clean}
+        jobs = {k: v for k, v in every.items() if k in only.split(",")}
     points()  # starts the session's code generation
     took = {}
     for name, job in jobs.items():
