@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +19,11 @@ DEFAULTS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session made elsewhere."""
+    """Apply the settings that a session made elsewhere has left open."""
+    given = dict(spark.sparkContext.getConf().getAll())
     for k, v in DEFAULTS.items():
-        spark.conf.set(k, v)
+        if k not in given:
+            spark.conf.set(k, v)
     return spark
 
 
@@ -42,27 +45,28 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a result used several times.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where none is set
-    (tests) a temporary one is made.
+    Only a session whose tasks run in the driver's own process gets one of its own where none is named.
     """
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"/tmp/checkpoints/{context.applicationId}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a result used several times, in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(
-            prefix="glebe-checkpoint-"
-        )
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New folder name in the shared checkpoint folder (a temporary one where none is set)."""
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    base = base or tempfile.mkdtemp(prefix="glebe-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """New folder name in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
