@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glebe.llm import decontaminate
+from glebe.llm.near import NearCopies
 from glebe.llm.tables import fold, table
 
 QUERIES: dict = {}
@@ -56,3 +57,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@register("op7_near_copies")
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least id of its class of near copies and whether it is that document."""
+    found = NearCopies(table(spark, sf_dir, "documents")).classes()
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("class").alias("class_id"), F.col("id").eqNullSafe(F.col("class")).alias("is_first")
+    )
