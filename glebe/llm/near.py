@@ -15,8 +15,10 @@ Classes of near copies are the connected parts of all verified pairs:
    companions, is compared with all others. The overlap of the two bags is exact;
 3. texts of buckets that still hold several parts meet once more, by a prefix join of their bags:
    ordered from the rarest element on, two bags that are similar enough share one of the first
-   ``n - ceil(similarity * n) + 1``. Only pairs of different parts are compared. So every similar pair
-   of a bucket is connected, without listing the pairs of a group.
+   ``n - ceil(similarity * n) + 1``. Only pairs of different parts are compared, and only those that a
+   parity bitmap leaves open: each element flips one of 1024 bits, so two bags differ in at least as
+   many elements as their bitmaps in bits. So every similar pair of a bucket is connected, without
+   listing the pairs of a group.
 
 Null and empty texts belong to no class but their own. Repeated rows are copies of one text. The class
 id is the least document id of the class. Other columns are kept by ``deduplicate``, whatever their names.
@@ -25,7 +27,7 @@ id is the least document id of the class. Other columns are kept by ``deduplicat
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ from glebe.llm.tables import apart, stored
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
+LONGS = 16  # of a parity bitmap
 
 U64 = np.uint64
 _STEP = U64(0x9E3779B97F4A7C15)
@@ -121,8 +124,13 @@ def _bag(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatc
             element = wd.mix(np.repeat(value, n) + nth.astype(U64) * _STEP).view(np.int64)
             size = np.bincount(np.repeat(row, n), minlength=rows)
             ends = pa.array(np.append(0, np.cumsum(size)), pa.int32())
+            bits = 64 * LONGS
+            odd = np.bincount(np.repeat(row, n) * bits + (element.view(U64) % U64(bits)).astype(np.int64), minlength=rows * bits) & 1
+            parity = np.packbits(odd.astype(np.uint8)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("print"), pa.ListArray.from_arrays(ends, pa.array(element))], ["print", "bag"]
+                [part.column("print"), pa.ListArray.from_arrays(ends, pa.array(element)),
+                 pa.FixedSizeListArray.from_arrays(pa.array(parity), LONGS).cast(pa.list_(pa.int64()))],
+                ["print", "bag", "parity"],
             )
 
 
@@ -171,7 +179,7 @@ class NearCopies:
         fame = members.groupBy("print").agg(F.sum("n").alias("fame"))
         bags = stored(
             texts.join(fame, "print", "left_semi").groupBy("print").agg(F.first("text").alias("text"))
-            .mapInArrow(partial(_bag, text="text"), "print binary, bag array<bigint>"), "bags",
+            .mapInArrow(partial(_bag, text="text"), "print binary, bag array<bigint>, parity array<bigint>"), "bags",
         )
         pivot = members.join(fame, "print").groupBy(*key).agg(F.max(F.struct("fame", "print")).alias("pivot"))
         stars = members.join(pivot, key).filter("print <> pivot.print")
@@ -193,11 +201,21 @@ class NearCopies:
         length = F.size("bag") - F.ceil(F.size("bag") * self.similarity - 1e-9).cast("int") + 1
         prefix = listed.select("print", "part", F.explode(F.slice("bag", F.lit(1), length)).alias("z")).filter("z.n > 1")
         prefix = stored(prefix.select("print", "part", F.col("z.e").alias("e")), "prefix")
+        sketch = bags.select("print", F.size("bag").alias("size"), "parity")
         share = prefix.groupBy("e", "part").agg(F.count("*").alias("n"))
         main = share.groupBy("e").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-        there = prefix.join(main, "e")
-        aside = there.filter("part <> main").select("e", F.col("print").alias("other"), F.col("part").alias("part_2"))
-        pairs = there.join(aside, "e").filter("part <> part_2 AND (part = main OR part < part_2)")
+        there = prefix.join(main, "e").join(sketch, "print")
+        aside = there.filter("part <> main").select(
+            "e", F.col("print").alias("other"), F.col("part").alias("part_2"), F.col("size").alias("size_2"), F.col("parity").alias("parity_2")
+        )
+        differ = reduce(
+            lambda x, y: x + y, [F.bit_count(F.get("parity", F.lit(i)).bitwiseXOR(F.get("parity_2", F.lit(i)))) for i in range(LONGS)]
+        )
+        # of bags with n elements together, d of them in one only, the similarity is (n - d) / (n + d)
+        most = (1 - self.similarity) / (1 + self.similarity)
+        pairs = there.join(aside, "e").filter(
+            F.expr("part <> part_2 AND (part = main OR part < part_2)") & (differ <= most * (F.col("size") + F.col("size_2")) + 1e-6)
+        )
         return self._ordered(pairs, "print", "other")
 
     def _similar(self, pairs: DataFrame, bags: DataFrame) -> DataFrame:
