@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glebe.llm import decontaminate
+from glebe.llm import decontaminate, quality
 from glebe.llm.near import NearCopies
 from glebe.llm.tables import fold, table
 
@@ -66,3 +66,32 @@ def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), F.col("class").alias("class_id"), F.col("id").eqNullSafe(F.col("class")).alias("is_first")
     )
+
+
+@register(
+    "op2_quality_rules",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+    ln AS (SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+           FROM (SELECT k, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k),
+    win AS (SELECT k, i, array_to_string(w[i:i + 7], ' ') AS t FROM w, unnest(range(1, len(w) - 6)) AS u(i)),
+    dup AS (SELECT k, unnest(starts) AS i FROM (SELECT k, list(i) AS starts FROM win GROUP BY k, t HAVING count(*) > 1)),
+    rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + 8)) AS p FROM dup) GROUP BY k),
+    m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                 CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+                 coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+                 length(regexp_replace(text, '[^A-Z]', '', 'g')) AS up, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters
+          FROM w LEFT JOIN ln USING (k) LEFT JOIN rep USING (k)),
+    b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 100 * n_symbols > 10 * word_chars OR word_chars > 30 * n_words
+                OR (letters > 0 AND 100 * up > 60 * letters) OR 100 * n_dup_lines > 60 * n_lines) AS kept
+    FROM b""",
+)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every whole document and the verdict of the cascade."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged, (rejected, *names) = quality.judge(docs, measures=quality.MEASURES)
+    failed = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
+    return judged.select("doc_id", *names, failed.alias("base_failed"), (~failed & F.col(rejected).isNull()).alias("kept"))
