@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glebe.llm import decontaminate, quality
+from glebe.llm import decontaminate, mixing, quality
 from glebe.llm.near import NearCopies
 from glebe.llm.tables import fold, table
 
@@ -95,3 +95,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, (rejected, *names) = quality.judge(docs, measures=quality.MEASURES)
     failed = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
     return judged.select("doc_id", *names, failed.alias("base_failed"), (~failed & F.col(rejected).isNull()).alias("kept"))
+
+
+@register("op3_mix_sources")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    mixed, (size, source_size, target, copies) = mixing.mix(docs, size=F.col("words"))
+    return mixed.select(
+        "doc_id", F.col(size).alias("size"), F.col(source_size).alias("source_size"), F.col(target).alias("target"),
+        (F.col(size) * F.col(copies)).alias("taken"), F.col(copies).alias("copies"),
+    )
