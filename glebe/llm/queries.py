@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glebe.llm import decontaminate, mixing, quality
+from glebe.llm import decontaminate, mixing, privacy, quality
 from glebe.llm.near import NearCopies
 from glebe.llm.tables import fold, table
 
@@ -106,3 +106,16 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col(size).alias("size"), F.col(source_size).alias("source_size"), F.col(target).alias("target"),
         (F.col(size) * F.col(copies)).alias("taken"), F.col(copies).alias("copies"),
     )
+
+
+@register("op9_personal_data")
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data and of the terms that reveal it, in every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, (base, terms) = privacy.scan(docs)
+    counts = [
+        F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(privacy.KINDS[:4])
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(privacy.digest(F.col(base)), 256).alias("base_sha256"), privacy.digest(F.concat(base, terms)).alias("spans")
+    )
