@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glebe.llm import decontaminate, mixing, privacy, quality
+from glebe.llm import decontaminate, hmm, html, language, mixing, privacy, quality, urls
 from glebe.llm.near import NearCopies
 from glebe.llm.tables import fold, table
 
@@ -119,3 +119,41 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(privacy.digest(F.col(base)), 256).alias("base_sha256"), privacy.digest(F.concat(base, terms)).alias("spans")
     )
+
+
+URL_RULES = urls.Rules([("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")])
+
+
+@register("op1_url_filter")
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    labelled = spark.createDataFrame([(u, 1) for u in urls.BLOCKED] + [(u, 0) for u in urls.ALLOWED], "url string, blocked int")
+    judged, names = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, urls.train(labelled))
+    return judged.select("page_id", *[F.col(n).alias(k) for n, k in zip(names, ("host", "path", "rule", "verdict", "score"))])
+
+
+@register("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
+    model = language.train(docs.filter("NOT held_out").select("text", "lang"))
+    found, (lang, score) = language.predict(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
+
+
+@register("op6_main_text")
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found, text = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col(text).alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
+@register("op10_lm_score")
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every whole document under the hidden Markov model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), "text")
+    found, (n, known, base, score), vocab, _ = hmm.score(docs, ~F.col("held_out"))
+    return found.select(
+        "doc_id", "held_out", F.col(n).alias("n_tokens"), F.col(known).alias("n_known"),
+        F.lit(vocab.tokens).cast("long").alias("train_tokens"), F.col(base).alias("base_score"), F.col(score).alias("score"),
+    )
