@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glebe.llm import decontaminate, hmm, html, language, mixing, privacy, quality, urls
+from glebe.llm import decontaminate, hmm, html, language, licences, mixing, privacy, quality, urls
 from glebe.llm.near import NearCopies
 from glebe.llm.tables import fold, table
 
@@ -157,3 +157,17 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", F.col(n).alias("n_tokens"), F.col(known).alias("n_known"),
         F.lit(vocab.tokens).cast("long").alias("train_tokens"), F.col(base).alias("base_score"), F.col(score).alias("score"),
     )
+
+
+@register("op5_licence_scan")
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = docs.withColumn("print", F.xxhash64("text"))
+    found = licences.paragraphs(docs, licences.train(docs)).groupBy("print").agg(
+        F.count("*").alias("n"), F.sort_array(F.collect_set("family")).alias("families"), F.sort_array(F.collect_list("line")).alias("lines")
+    )
+    return texts.select("doc_id", "print").join(found, "print", "left").select(
+        "doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_licences"), F.coalesce(F.array_join("families", ","), F.lit("")).alias("families"),
+        F.coalesce(F.array_join(F.col("lines").cast("array<string>"), ","), F.lit("")).alias("lines"),
+    )
