@@ -10,8 +10,8 @@ and emit expected counts, one row per class, which are summed in a shuffle; the
 sums, whose size is fixed by ``classes`` and ``states``. For training, texts are cut into segments of
 ``SEGMENT`` tokens, with a start distribution for texts and one for later segments; scores run over
 whole texts. Counts of the ``known`` most frequent tokens travel to the tasks; those of rarer tokens
-are joined, so counts of any vocabulary are exact. No rare token has more than one in ``known`` of all
-tokens, so none is hot.
+are joined, so counts of any vocabulary are exact. A rare token has a small share of all tokens, so none is
+hot.
 
 Null and empty texts are one end token. Without training documents every token has probability one.
 Repeated rows get equal results up to the order of sums, an empty table an empty result. Other columns
@@ -91,7 +91,15 @@ class Model(NamedTuple):
 
 
 def vocabulary(counts: DataFrame, classes: int = CLASSES, known: int = KNOWN) -> Vocabulary:
-    top = counts.orderBy(F.col("n").desc(), "token").limit(known).collect()
+    """The most frequent tokens, at most ``known``: whole steps of frequency, so that only they reach the driver."""
+    step = F.floor(F.log2("n") * 64)
+    room, least = known, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["step"]
+    top = [] if least is None else sorted(counts.filter(step >= least).collect(), key=lambda r: (-r["n"], r["token"]))
     n = np.array([r["n"] for r in top], np.int64)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     classes = min(classes, len(top))
