@@ -73,10 +73,10 @@ class Index:
 
     def __init__(self, texts: list[list[str]], items: list[list[str]], hashes: np.ndarray, rarity, needed: float):
         self.items = items
-        self.length = np.array([len(t) for t in texts])
+        self.length = np.array([len(t) for t in texts], np.int64)
         self.begin = np.cumsum(self.length) - self.length
         self.hash = hashes
-        self.least = np.array([max(1, ceil(needed * n - 1e-9)) for n in self.length])
+        self.least = np.array([max(1, ceil(needed * n - 1e-9)) for n in self.length], np.int64)
         self.text = [" ".join(t).encode() for t in texts]
         window = np.repeat(np.arange(len(texts)), self.length)
         place = np.arange(hashes.size) - self.begin[window]
@@ -172,7 +172,7 @@ def search(
     blocks: list[tuple[list, list]] = [([], [])]
     held = 0
     for r in grouped.toLocalIterator():
-        if held + len(r["words"]) > block_words:
+        if blocks[-1][0] and held + len(r["words"]) > block_words:
             blocks.append(([], []))
             held = 0
         blocks[-1][0].append(r["words"])
