@@ -139,7 +139,7 @@ def _per_cell(cells: DataFrame, points: DataFrame, size: float | None, tile: flo
 
 
 def idw(
-    cells: DataFrame, points: DataFrame, k: int = 8, tile: float = 200.0, levels: int | None = None
+    cells: DataFrame, points: DataFrame, k: int = 8, tile: float = 200.0
 ) -> DataFrame:
     """Inverse-distance mean of the ``k`` nearest known values to each cell centroid.
 
@@ -148,7 +148,7 @@ def idw(
     known = points.filter(F.col("value_num").isNotNull()).select(
         "date_result", "point_id", "value_num", "geom"
     )
-    near = knn_join(cells.select("id_cell", "geom"), known, k, ["date_result"], tile, levels)
+    near = knn_join(cells.select("id_cell", "geom"), known, k, ["date_result"], tile)
     on_spot = F.col("distance") == 0
     w = F.when(~on_spot, 1 / F.col("distance"))
     return near.groupBy("id_cell", "date_result").agg(

@@ -99,20 +99,11 @@ def _tests(name: str) -> dict[str, Column]:
     }
 
 
-def _first(df: DataFrame, name: str, limit: int | None) -> DataFrame:
-    if limit is None:
-        return df
-    return df.select(f"`{name}`").filter(_filled(name).isNotNull()).limit(limit)
-
-
-def infer_types(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> dict[str, str]:
+def infer_types(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
     """First of boolean, date, bigint, numeric that fits every non-empty value; else text.
 
-    One aggregate over all columns returns one row of flags.  ``limit`` looks at the
-    first values of each column only, as a quick preview.
+    One aggregate over all columns returns one row of flags.
     """
-    if limit is not None:
-        return {c: infer_types(_first(df, c, limit), [c])[c] for c in cols}
     tests = {c: _tests(c) for c in cols}
     flags = df.agg(
         *[t.alias(f"{i}|{k}") for i, c in enumerate(cols) for k, t in tests[c].items()]
@@ -128,12 +119,11 @@ def infer_types(df: DataFrame, cols: Sequence[str], limit: int | None = None) ->
     return {c: verdict(i, c) for i, c in enumerate(cols)}
 
 
-def best_date_format(df: DataFrame, col: str, limit: int | None = None) -> str | None:
+def best_date_format(df: DataFrame, col: str) -> str | None:
     """First format that parses every non-empty value of the column."""
     v = _filled(col)
     flags = (
-        _first(df, col, limit)
-        .agg(
+        df.agg(
             *[
                 F.bool_and(F.when(v.isNotNull(), _parses(v, f))).alias(str(i))
                 for i, f in enumerate(DATE_FORMATS)
