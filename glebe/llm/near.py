@@ -26,16 +26,17 @@ id is the least document id of the class. Other columns are kept by ``deduplicat
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glebe.llm import words as wd
-from glebe.llm.tables import apart, stored
+from glebe.llm.tables import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -157,13 +158,13 @@ class NearCopies:
 
     def __init__(
         self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-        similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+        similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, carried: Sequence[str] = (),
     ):
         self.similarity = similarity
-        narrow = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-        kind = narrow.schema["id"].dataType.simpleString()
+        narrow = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *carried)
+        added = [T.StructField("print", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
         signed = narrow.mapInArrow(
-            partial(_sign, text="text", bands=bands, width=rows), f"id {kind}, text string, print binary, bands array<bigint>"
+            partial(_sign, text="text", bands=bands, width=rows), T.StructType([*narrow.schema.fields, *added])
         )
         self.texts = stored(signed, "signed")
         self.edges = self._edges()
@@ -242,9 +243,11 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
 
     Rows without words all stay.
     """
-    key, = apart(docs, "row_key")
-    # written first, so that every later reading sees the same key on the same row
-    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    found = NearCopies(keyed.select(F.struct(doc_id, key).alias("id"), F.col(text).alias("text")), "id", "text", **options)
-    kept = found.classes().filter("id = class").select(F.col(f"id.{key}").alias(key))
-    return keyed.join(kept, key, "left_semi").select(*docs.columns)
+    # the whole rows are written once, with their signatures: every later reading sees the same key on the same row
+    row = F.struct(F.col(doc_id).alias("own"), F.monotonically_increasing_id().alias("key"))
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
+    keyed = docs.select(row.alias("id"), F.col(text).alias("text"), rest.alias("rest"))
+    found = NearCopies(keyed, "id", "text", carried=["rest"], **options)
+    kept = found.classes().filter("id = class").select(F.col("id.key").alias("key"))
+    rows = found.texts.select("id.key", "text", "rest").join(kept, "key", "left_semi")
+    return rows.select(*[F.col("text").alias(c) if c == text else F.col("rest")[c].alias(c) for c in docs.columns])
