@@ -176,36 +176,55 @@ def points_in_cells(
 ) -> DataFrame:
     """Points with every cell they touch; a point on a border belongs to each neighbour.
 
-    With ``size`` the cells are squares on a regular grid from the origin and the join
-    key is arithmetic; otherwise any cells go through the tile join.
+    With ``size`` the cells are squares on a regular grid and the join key is arithmetic;
+    any other cells go through the tile join.
     """
-    if size is None:
+    origin = lattice_origin(cells, size)
+    if origin is None:
         return spatial_join(points, cells, "intersects", tile, hot_rows).withColumnRenamed(
             "geom_a", "geom"
         ).drop("geom_b")
 
     return (
-        on_grid(points, size)
-        .join(grid_cells(cells, size).drop("geom"), ["_gx", "_gy"])
+        on_grid(points, size, origin)
+        .join(grid_cells(cells, size, origin).drop("geom"), ["_gx", "_gy"])
         .drop("_gx", "_gy")
     )
 
 
-def on_grid(points: DataFrame, size: float) -> DataFrame:
+def lattice_origin(cells: DataFrame, size: float | None) -> tuple[float, float] | None:
+    """Where the lattice of squares of side ``size`` starts; None unless every cell is one of its squares."""
+    if size is None:
+        return None
+    box = F.col("geom")
+    square = (
+        box.parts.isNull() & (box.kind == "polygon") & (box.xmax - box.xmin == size) & (box.ymax - box.ymin == size)
+    )
+    x, y = (F.pmod(v, F.lit(float(size))) for v in (box.xmin, box.ymin))
+    row = cells.agg(
+        F.min(x).alias("x"), F.max(x).alias("x_max"), F.min(y).alias("y"), F.max(y).alias("y_max"),
+        F.bool_and(F.coalesce(square, F.lit(False))).alias("squares"),
+    ).first()
+    regular = row["squares"] and row["x"] == row["x_max"] and row["y"] == row["y_max"]
+    return (row["x"], row["y"]) if regular else None
+
+
+def on_grid(points: DataFrame, size: float, origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
     """Points with the grid position(s) of the squares they touch."""
 
     def touched(v: Column) -> Column:
         k = F.floor(v / size)
         return F.when(v == k * size, F.array(k - 1, k)).otherwise(F.array(k))
 
-    return points.withColumn("_gx", F.explode(touched(F.col("geom.xmin")))).withColumn(
-        "_gy", F.explode(touched(F.col("geom.ymin")))
+    return points.withColumn("_gx", F.explode(touched(F.col("geom.xmin") - origin[0]))).withColumn(
+        "_gy", F.explode(touched(F.col("geom.ymin") - origin[1]))
     )
 
 
-def grid_cells(cells: DataFrame, size: float) -> DataFrame:
-    return cells.withColumn("_gx", F.floor(F.col("geom.xmin") / size)).withColumn(
-        "_gy", F.floor(F.col("geom.ymin") / size)
+def grid_cells(cells: DataFrame, size: float, origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """Cells with their grid position."""
+    return cells.withColumn("_gx", F.round((F.col("geom.xmin") - origin[0]) / size).cast("bigint")).withColumn(
+        "_gy", F.round((F.col("geom.ymin") - origin[1]) / size).cast("bigint")
     )
 
 

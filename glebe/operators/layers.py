@@ -96,7 +96,8 @@ def erase(
     ``shrink_many`` erodes the shapes of a key that has two or more of them.  Equal
     shapes of a key are collapsed before the shuffle.
     """
-    shapes = pairs.groupBy(key).agg(F.collect_set(shape).alias("_shapes"), F.count("*").alias("_n"))
+    # sorted, so that the result does not depend on the order of the shuffle
+    shapes = pairs.groupBy(key).agg(F.sort_array(F.collect_set(shape)).alias("_shapes"), F.count("*").alias("_n"))
     joined = layer.join(shapes, key, "left")
     if shrink_many:
         joined = joined.withColumn(

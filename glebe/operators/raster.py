@@ -57,9 +57,12 @@ def dynamic_convert(
     high: float = 255.0,
     q: float = 0.02,
     exact: bool = True,
+    scene: str = "scene",
 ) -> DataFrame:
     """Each band clamped to its ``q`` and ``1 - q`` quantiles and stretched to low..high.
 
+    Pixels with a column ``scene`` are stretched scene by scene.
+
     The exact quantile keeps a count per distinct value, which suits integer pixels;
     ``exact=False`` takes the sketch for real-valued ones.
     """
@@ -69,16 +72,18 @@ def dynamic_convert(
         band = F.get("b", F.lit(i))
         return F.percentile(band, qs) if exact else F.percentile_approx(band, qs, 100_000)
 
-    bounds = px.agg(*[quantiles(i).alias(f"_q{i}") for i in range(n_bands)])
+    scenes = [scene] if scene in px.columns else []
+    bounds = px.groupBy(*[F.col(s).alias("_scene") for s in scenes]).agg(*[quantiles(i).alias(f"_q{i}") for i in range(n_bands)])
 
     def stretch(i: int) -> Column:
         lo, hi = F.get(f"_q{i}", F.lit(0)), F.get(f"_q{i}", F.lit(1))
         band = F.least(F.greatest(F.get("b", F.lit(i)), lo), hi)
         return F.coalesce(low + F.try_divide((band - lo) * (high - low), hi - lo), F.lit(low))
 
-    # one row of bounds
-    return px.join(F.broadcast(bounds)).select(
-        *PIXEL, F.array(*[stretch(i) for i in range(n_bands)]).alias("b")
+    # without scenes there is one row of bounds
+    bounded = px.join(bounds, F.col(scene).eqNullSafe(F.col("_scene"))) if scenes else px.join(F.broadcast(bounds))
+    return bounded.select(
+        *PIXEL, *scenes, F.array(*[stretch(i) for i in range(n_bands)]).alias("b")
     )
 
 

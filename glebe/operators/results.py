@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glebe.functions import measure as m
+from glebe.functions import overlay as o
 from glebe.operators.joins import points_in_cells, spatial_join
 
 VALUE = {"num": "value_num", "str": "value_str"}
@@ -70,15 +72,18 @@ def cells_to_compute(
     results: DataFrame,
     tile: float = 200.0,
     point_size: float | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
-    """(cell, date) that meet data but have no result yet."""
+    """(cell, date) that meet data but have no result yet; a line must run inside the cell."""
     keys = ["id_cell", "date_result"]
     observed, sites = data.select("date_result", "geom"), cells.select("id_cell", "geom")
     met = (
         spatial_join(observed, sites, "intersects", tile)
         if point_size is None
-        else points_in_cells(observed, sites, point_size)
+        else points_in_cells(observed, sites, point_size, tile)
     )
+    if kind == "line":
+        met = met.filter(m.length(o.intersection("geom_b", "geom_a")) > 0)
     return met.select(*keys).distinct().join(results.select(*keys).distinct(), keys, "left_anti")
 
 

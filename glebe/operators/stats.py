@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from glebe.functions import measure as m
 from glebe.functions import overlay as o
 from glebe.operators import modes
-from glebe.operators.joins import grid_cells, knn_join, on_grid, points_in_cells, spatial_join
+from glebe.operators.joins import grid_cells, knn_join, lattice_origin, on_grid, points_in_cells, spatial_join
 from glebe.operators.layers import dissolve
 
 OUT = [
@@ -131,10 +131,11 @@ def _per_cell(cells: DataFrame, points: DataFrame, size: float | None, tile: flo
     shrinks a crowded cell before the shuffle and only its result meets the cells.
     """
     data, cells = points.select(*FEATURE), cells.select("id_cell", "geom")
-    if size is None:
+    origin = lattice_origin(cells, size)
+    if origin is None:
         return job(points_in_cells(data, cells, None, tile), ["id_cell", "date_result"])
-    result = job(on_grid(data, size), ["_gx", "_gy", "date_result"])
-    named = result.join(grid_cells(cells, size).drop("geom"), ["_gx", "_gy"])
+    result = job(on_grid(data, size, origin), ["_gx", "_gy", "date_result"])
+    named = result.join(grid_cells(cells, size, origin).drop("geom"), ["_gx", "_gy"])
     return named.drop("_gx", "_gy")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,14 +99,26 @@ def build_indicator(
     data = datasets.filter(F.col("id_variable") == spec.id_variable)
     if existing is not None:
         done = existing.filter(F.col("id_indicator") == spec.id_indicator)
-        size = spec.cell_size if (spec.kind or geometry_kind(data)) == "point" else None
-        open_cells = results.cells_to_compute(grid, data, done, spec.tile, size)
+        kind = spec.kind or geometry_kind(data)
+        size = spec.cell_size if kind == "point" else None
+        # features that the condition leaves out give no result to wait for
+        counted = data.filter(F.expr(spec.condition_variable)) if spec.condition_variable else data
+        open_cells = results.cells_to_compute(grid, counted, done, spec.tile, size, kind)
         data = data.join(results.dates_to_rebuild(open_cells), "date_result", "left_semi")
+        spec = replace(spec, kind=kind)  # nothing may be left to read it from
     return compute_indicator(grid, data, spec)
 
 
-def publish(found: DataFrame, path: str, log_path: str, user: str) -> None:
-    """Replace the (indicator, date) partitions of the results and log each of them."""
+def publish(found: DataFrame, path: str, log_path: str, user: str, rebuilt: Sequence[int] = ()) -> None:
+    """Replace the (indicator, date) partitions of the results and log each of them.
+
+    ``rebuilt`` names the indicators built from scratch: their stored dates that ``found``
+    lacks are removed.
+    """
     found = cut_lineage(found)  # written twice, and may have been read from ``path``
-    sinks.save_partition(found, path, ["id_indicator", "date_result"])
+    for id_indicator in rebuilt:
+        mine = found.filter(F.col("id_indicator") == id_indicator).drop("id_indicator")
+        sinks.replace_partitions(mine, f"{path}/id_indicator={id_indicator}", ["date_result"])
+    resumed = found.filter(~F.col("id_indicator").isin(list(rebuilt))) if rebuilt else found
+    sinks.save_partition(resumed, path, ["id_indicator", "date_result"])
     sinks.append_log(sinks.log_update(found, "indicator", "id_indicator", user), log_path)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -13,14 +14,23 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def as_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
-    """Columns cast and ordered like the stored table; columns it lacks are left out."""
+    """Columns cast and ordered like the stored table; columns it lacks are left out.
+
+    A value that does not fit the stored type is an error.
+    """
     have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in stored.schema.fields
-        ]
-    )
+
+    def fitted(f: T.StructField) -> Column:
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType)
+        if df.schema[f.name].dataType == f.dataType:
+            return F.col(f.name)
+        value = F.col(f.name).try_cast(f.dataType)
+        text = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), F.col(f.name).cast("string"))
+        misfit = F.col(f.name).isNotNull() & value.isNull()
+        return F.when(misfit, F.raise_error(text).cast(f.dataType)).otherwise(value)
+
+    return df.select(*[fitted(f).alias(f.name) for f in stored.schema.fields])
 
 
 def save_table(
@@ -28,13 +38,15 @@ def save_table(
 ) -> None:
     """Create the table anew, or append to it in its own types; keys must stay unique."""
     mode = "append" if append else "overwrite"
-    whole = df
+    stored = None
     if append:
         stored = df.sparkSession.read.parquet(path)
         df = as_stored(df, stored)
-        whole = stored.select(*primary_key).unionByName(df.select(*primary_key)) if primary_key else df
     if primary_key:
-        double = duplicate_keys(whole, primary_key).first()
+        double = duplicate_keys(df, primary_key).first()
+        if double is None and stored is not None:
+            # the stored keys are unique already
+            double = df.select(*primary_key).join(stored.select(*primary_key), list(primary_key), "left_semi").first()
         if double is not None:
             raise ValueError(f"primary key {list(primary_key)} is not unique: {double.asDict()}")
     df.write.mode(mode).parquet(path)
@@ -51,6 +63,17 @@ def save_partition(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Rewrite the whole folder: partitions that ``df`` lacks are removed."""
+    (
+        df.hint("rebalance", *keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*keys)
+        .parquet(path)
+    )
+
+
 def log_update(rebuilt: DataFrame, kind: str, id_col: str, user: str) -> DataFrame:
     """One log row per (date, id) that was rebuilt."""
     return (
