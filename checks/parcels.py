@@ -166,6 +166,16 @@ def clean(spark, sf_dir):
 # ------------------------------------------------------------------ reshaping
 
 
+@register("P_clean_each_once", "SELECT count(*) > 0 AS cleaned, CAST(0 AS BIGINT) AS n_overlaps FROM orders")
+def clean_each_once(spark, sf_dir):
+    """Default gaps, holes filled: no two parcels of the result share more than a thousandth of a square metre."""
+    out = cut_lineage(parcels.clean_parcels(fx.parcels_a(spark, sf_dir), TILE, each_once=True))
+    layer = cut_lineage(out.select(F.monotonically_increasing_id().alias("fid"), "geom"))
+    found = joins.overlap_pairs(layer, TILE).filter(m.area("inter_geom") > 1e-3)
+    left = found.agg(F.count("*").alias("n_overlaps"))
+    return layer.agg((F.count("*") > 0).alias("cleaned")).crossJoin(F.broadcast(left))
+
+
 @register(
     "G18_P1_P10_erode",
     f"""WITH {DECIDE}, p AS ({perimeter('builtsq')}), q AS (

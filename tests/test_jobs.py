@@ -9,6 +9,7 @@ from glebe.functions import geometry as g
 from glebe.functions import measure as m
 from glebe.functions.numbering import number_rows
 from glebe.operators import joins, modes, parcels, stats, vintages
+from glebe.session import cut_lineage
 from glebe.sources import sinks, typing
 
 
@@ -28,6 +29,26 @@ def test_clean_keeps_area_and_removes_overlap(spark):
     }
 
 
+def _overlapping(cleaned):
+    layer = cleaned.select(F.monotonically_increasing_id().alias("fid"), "geom").checkpoint()
+    return joins.overlap_pairs(layer).filter(m.area("inter_geom") > 1e-3).count()
+
+
+def test_default_cleaning_of_a_row_of_parcels_leaves_no_overlap(spark):
+    layer = boxes(spark, [(k, 30 * k, 0, 30 * k + 40, 40) for k in range(4)])
+    out = cut_lineage(parcels.clean_parcels(layer))
+    assert _overlapping(out) == 0
+    assert out.agg(F.sum(m.area("geom"))).first()[0] == pytest.approx(130 * 40, abs=10)
+
+
+def test_ground_shared_by_three_parcels_has_one_owner(spark):
+    layer = boxes(spark, [(1, 0, 0, 40, 40), (2, 30, 0, 60, 40), (3, 0, 30, 40, 90)])
+    for gap in (0.0, 0.001):
+        out = cut_lineage(parcels.clean_parcels(layer, gap_in=gap, gap_out=gap, each_once=True))
+        assert _overlapping(out) == 0
+        assert out.agg(F.sum(m.area("geom"))).first()[0] == pytest.approx(4400, abs=2)  # 1600 + 1200 + 2400 - (400 + 400 + 100) + 100
+
+
 def test_pile_of_copies_gives_each_copy_its_pair(spark):
     rows = [(k, 0.0, 0.0, 20.0, 20.0) for k in range(50)] + [(99, 10.0, 10.0, 30.0, 30.0)]
     pairs = joins.overlap_pairs(boxes(spark, rows)).collect()
