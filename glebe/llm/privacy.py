@@ -4,14 +4,14 @@ Base kinds are found by patterns, leftmost and without overlap per kind, with co
 The patterns say what the documented ones say, but start only where a run starts (or the last match
 ended) and repeat single characters rather than groups, so that long runs cost linear time and no stack.
 
-Around them runs an information-theoretic sanitiser. A found value is a protected entity; the terms
-of the lines that hold it are its context. Over the whole corpus, with document counts N (all),
-n(e), n(t) and n(e,t), the normalised pointwise mutual information
-``log(N n(e,t) / (n(e) n(t))) / -log(n(e,t) / N)`` says how strongly term t reveals entity e: 1 if
-neither occurs without the other. A term at or above ``disclosure`` that was seen with the entity in
-at least ``support`` different lines (copies of one line prove nothing) is a span of kind ``term`` in
-every document that holds the entity, and is generalised with it. Documents without an entity are
-left alone.
+Around them runs an information-theoretic sanitiser. A found value is a protected entity; all terms of
+the documents that hold it are its context: every word outside the spans, but for those with digits.
+Over the whole corpus, with document counts N (all), n(e), n(t) and n(e,t), the normalised pointwise
+mutual information ``log(N n(e,t) / (n(e) n(t))) / -log(n(e,t) / N)`` says how strongly term t reveals
+entity e: 1 if neither occurs without the other. One more document is spread evenly over the four cells
+of (with e or without, with t or without), so that few documents count for less but none are left out.
+A term at or above ``disclosure`` is a span of kind ``term`` in every document that holds the entity, and
+is generalised with it. Documents without an entity are left alone.
 
 Null and empty texts have no spans. Repeated rows get equal results. An empty table gives an empty
 result. Other columns are kept; helper columns avoid their names.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from glebe.llm.tables import apart, stored
 
 DISCLOSURE = 0.9
-SUPPORT = 3
+SPREAD = 1.0  # documents that smoothing adds to the counts of a pair
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = r"A-Za-z0-9._%+-"
@@ -37,7 +37,7 @@ CARD_BLANK = r"[\x20-](?![0-9])|(?<![0-9])[\x20-]"
 CARD = r"[0-9][0-9\x20-]+"
 CARD_LIKE = r"[0-9](?:[\x20-]?[0-9]){13}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-WORD = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}"
+WORD = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -93,57 +93,74 @@ def _lower(c: Column) -> Column:
     return F.lower(c)
 
 
-def _context(text: Column, spans: Column) -> Column:
-    """(entity, line, terms) of every base span: the words of the spans' lines, spans blanked out."""
-    def one(s: Column) -> Column:
-        before = F.substring_index(F.substring(text, F.lit(1), s["start"]), "\n", -1)
-        after = F.substring_index(F.substring(text, s["end"] + 1, F.length(text)), "\n", 1)
-        line = F.concat(before, F.lit(" "), after)
-        plain = F.regexp_replace(line, r"[^\s]*[@0-9][^\s]*", " ")
-        return F.struct(
-            F.concat(s["kind"].cast("string"), F.lit(":"), s["value"]).alias("entity"), F.xxhash64(line).alias("line"),
-            F.array_distinct(F.regexp_extract_all(_lower(plain), F.lit(WORD), F.lit(0))).alias("terms"),
-        )
+def _entities(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, lambda s: F.concat(s["kind"].cast("string"), F.lit(":"), s["value"])))
 
-    return F.transform(spans, one)
 
+def _replaced(body: Column, spans: Column, kind: Column) -> Column:
+    """``body`` with each of the sorted spans replaced by the entry of its kind; overlapping spans become one."""
 
-def disclosing(scanned: DataFrame, text: str, spans: str, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    def step(acc: Column, s: Column) -> Column:
+        between = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
+        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], between, F.get(kind, s["kind"]))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))))
+
+
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(_lower(text), F.lit(WORD), F.lit(0)))
+
+
+def _terms(text: Column, spans: Column) -> Column:
+    """The words of a text without its spans and without what is glued to digits."""
+    plain = _replaced(text, spans, F.array(*[F.lit(" ") for _ in KINDS]))
+    return _words(F.regexp_replace(plain, r"[^\s0-9]*+[0-9][^\s]*+", " "))
+
+
+def strength(n_both: Column, n_entity: Column, n_term: Column, total: Column, spread: float = SPREAD) -> Column:
+    """Normalised pointwise mutual information of the smoothed counts."""
+    share = (n_both + spread / 4) / (total + spread)
+    alone = (n_entity + spread / 2) * (n_term + spread / 2) / ((total + spread) * (total + spread))
+    return F.log(share / alone) / -F.log(share)
+
+
+def disclosing(scanned: DataFrame, text: str, spans: str, disclosure: float = DISCLOSURE, spread: float = SPREAD) -> DataFrame:
     """(entity, term): the terms that reveal an entity, from counts over all documents."""
-    one, two = apart(scanned, "document", "context")
-    holding = scanned.filter(F.size(spans) > 0).select(
-        F.xxhash64(text, F.monotonically_increasing_id()).alias(one), F.explode(_context(F.col(text), F.col(spans))).alias(two)
-    )
-    context = stored(holding.select(F.col(one).alias("document"), f"{two}.*"), "contexts")
-    together = (
-        context.select("document", "entity", "line", F.explode("terms").alias("term")).groupBy("entity", "term")
-        .agg(F.count_distinct("document").alias("n_both"), F.count_distinct("line").alias("lines")).filter(F.col("lines") >= support)
-    )
-    together = stored(together, "together")
-    entities = context.groupBy("entity").agg(F.count_distinct("document").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(_lower(F.col(text)), F.lit(WORD), F.lit(0)))
-    terms = scanned.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = F.lit(float(scanned.count()))
-    share = F.col("n_both") / total
-    mutual = F.log(share * total * total / (F.col("n_entity") * F.col("n_term")))
-    strength = F.when(share >= 1, 0.0).otherwise(mutual / -F.log(share))
+    holding = scanned.filter(F.size(spans) > 0)
+    context = stored(holding.select(_entities(F.col(spans)).alias("entities"), _terms(F.col(text), F.col(spans)).alias("terms")), "contexts")
+    listed = context.select(F.explode("entities").alias("entity"), "terms")
+    together = listed.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    entities = listed.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    terms = scanned.select(F.explode(_words(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     joined = together.join(entities, "entity").join(terms, "term")
-    return joined.filter(strength >= disclosure).select("entity", "term")
+    found = strength(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(float(scanned.count())), spread)
+    return joined.filter(found >= disclosure).select("entity", "term")
+
+
+def _among(value: Column, listed: Column) -> Column:
+    """Whether a sorted array holds a value, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(27, -1, -1)])
+    at = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when((at + step <= F.size(listed)) & (F.get(listed, at + step - 1) <= value), at + step).otherwise(at)
+    )
+    return F.coalesce(F.get(listed, at - 1) == value, F.lit(False))
 
 
 def scan(
-    docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT
+    docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, spread: float = SPREAD
 ) -> tuple[DataFrame, tuple[str, str]]:
     """``docs`` with base spans and term spans; returns the names of the two columns."""
     base, terms, key, listed = apart(docs, "base_spans", "term_spans", "scan_key", "scan_terms")
     scanned = stored(docs.withColumn(base, base_spans(F.coalesce(F.col(text), F.lit("")))), "scanned")
-    pairs = stored(disclosing(scanned, text, base, disclosure, support), "disclosing")
+    pairs = stored(disclosing(scanned, text, base, disclosure, spread), "disclosing")
     holding = scanned.filter(F.size(base) > 0).withColumn(key, F.xxhash64(text))
-    entity = F.explode(F.array_distinct(F.transform(base, lambda s: F.concat(s["kind"].cast("string"), F.lit(":"), s["value"])))).alias("entity")
     by_text = (
-        holding.select(key, entity).distinct().join(pairs, "entity").groupBy(key).agg(F.collect_set("term").alias(listed))
+        holding.select(key, F.explode(_entities(F.col(base))).alias("entity")).distinct().join(pairs, "entity")
+        .groupBy(key).agg(F.sort_array(F.collect_set("term")).alias(listed))
     )
-    mine = _matches(F.col(text), WORD, 4, lambda v: F.array_contains(F.col(listed), _lower(v)))
+    mine = _matches(F.col(text), WORD, 4, lambda v: _among(_lower(v), F.col(listed)))
     free = F.filter(mine, lambda t: ~F.exists(F.col(base), lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     none = F.array().cast(_SPANS)
     with_terms = holding.join(by_text, key, "left").withColumn(terms, F.when(F.col(listed).isNotNull(), free).otherwise(none))
@@ -163,13 +180,6 @@ def sanitize(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with every span replaced by its kind, like ``<EMAIL>``; overlapping spans become one."""
     found, (base, terms) = scan(docs, text, **options)
     body, kind = F.col(text), F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], between, F.get(kind, s["kind"]))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
     spans = F.array_sort(F.concat(base, terms))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rebuilt = F.aggregate(spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))))
+    rebuilt = _replaced(body, spans, kind)
     return found.withColumn(text, F.when(F.size(spans) > 0, rebuilt).otherwise(body)).select(*docs.columns)

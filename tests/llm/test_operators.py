@@ -155,6 +155,14 @@ def test_terms_that_reveal_an_entity(spark):
     assert cleaned == "call <TERM> now0 at <EMAIL> thanks"
 
 
+def test_terms_of_rare_entities(spark):
+    rows = [(0, "Dr Zorblax Qi wrote this\nplain words\n\nmail: x@y.zz"), (1, "Umbrek asked\nbob@y.zz words"), (2, "call\nbob@y.zz again Umbrek")]
+    rows += [(i, "dr call plain words asked again wrote this mail") for i in range(3, 200)]
+    found, (_, terms) = privacy.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    seen = {r["doc_id"]: [s["value"] for s in r[terms]] for r in found.collect()}
+    assert (seen[0], seen[1], seen[2]) == (["Zorblax", "Qi"], ["Umbrek"], ["Umbrek"]) and not any(seen[i] for i in range(3, 200))
+
+
 def test_language_is_learned(spark):
     found = QUERIES["op4_language_id"](spark, f"{ROOT}/sf0.01").toPandas()
     true = spark.read.parquet(f"{ROOT}/sf0.01/documents.parquet").select("doc_id", "lang").toPandas()
