@@ -1,17 +1,15 @@
 """Hidden Markov language model: Baum-Welch over all training documents, exact scores by the scaled forward recursion.
 
-Tokens are words between ASCII white space, A-Z lower-cased, and one end token per text. All tokens of
-the training documents are counted. States emit classes: each of the ``classes`` most frequent tokens,
-and one class of all others, in which a token has the share ``(count + 1) / (tokens + types + 1)`` of
-the class, a token never seen included. So every state's emissions sum to one.
-
-Baum-Welch: each pass reads all training tokens; partitions run the scaled forward-backward recursion
-and emit expected counts, one row per class, which are summed in a shuffle; the driver gets only the
-sums, whose size is fixed by ``classes`` and ``states``. For training, texts are cut into segments of
-``SEGMENT`` tokens, with a start distribution for texts and one for later segments; scores run over
-whole texts. Counts of the ``known`` most frequent tokens travel to the tasks; those of rarer tokens
-are joined, so counts of any vocabulary are exact. A rare token has a small share of all tokens, so none is
-hot.
+Tokens are words between ASCII white space, A-Z lower-cased, and one end token per text. Every token of
+the training documents has its own emission in every state, and so has one token that stands for all
+never seen. A state's emissions are its expected counts plus ``1 / states`` each, over their sum.
+
+Texts are encoded in blocks of about ``BLOCK`` tokens: the ``known`` most frequent tokens by a table that
+travels to the tasks (for speed only), the others by their place in the list of the block, so that a
+pass joins one row per block and token, not per occurrence. Baum-Welch: in each pass the emissions of
+the listed tokens are joined by token and meet their block's texts, over which the scaled
+forward-backward recursion runs whole, and the expected counts are summed per token in a shuffle. Those
+of rarer tokens stay a table; the driver gets the ``known`` ones and the sums per state.
 
 Null and empty texts are one end token. Without training documents every token has probability one.
 Repeated rows get equal results up to the order of sums, an empty table an empty result. Other columns
@@ -24,9 +22,11 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,13 +35,12 @@ from glebe.llm import words as wd
 from glebe.llm.tables import apart, stored
 
 STATES = 4
-CLASSES = 1 << 14
-KNOWN = 1 << 17
+KNOWN = 1 << 14
 PASSES = 5
-SEGMENT = 64
+BLOCK = 1_000_000
 END = b"\n"  # no word holds white space
 _FLUSH = 400_000
-_BLOCK = 2_000_000
+_CELLS = 1_000_000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -69,15 +68,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Vocabulary(NamedTuple):
     rank: dict[bytes, int]  # of the most frequent tokens
     count: np.ndarray
-    classes: int
     tokens: int  # all training tokens
     types: int
-    rare_tokens: int  # of the class of all others
-    rare_types: int
-
-    def share(self, count) -> np.ndarray:
-        """log10 of a token's share of its class of rare tokens."""
-        return np.log10((np.asarray(count) + 1.0) / (self.rare_tokens + self.rare_types + 1.0))
 
     def base(self, count) -> np.ndarray:
         return np.log10((np.asarray(count) + 1.0) / (self.tokens + self.types + 1.0))
@@ -85,12 +77,18 @@ class Vocabulary(NamedTuple):
 
 class Model(NamedTuple):
     first: np.ndarray  # start of a text
-    later: np.ndarray  # start of a later segment
+    later: np.ndarray  # the same: texts are never cut
     move: np.ndarray
-    emit: np.ndarray  # (classes + 1, states)
+    emit: np.ndarray  # (tokens, states), in a learned model the frequent tokens and last the unseen one
+
+
+class Learned(NamedTuple):
+    model: Model
+    total: np.ndarray  # of each state's weights
+    rare: DataFrame  # token, n and weights of all other training tokens
 
 
-def vocabulary(counts: DataFrame, classes: int = CLASSES, known: int = KNOWN) -> Vocabulary:
+def vocabulary(counts: DataFrame, known: int = KNOWN) -> Vocabulary:
     """The most frequent tokens, at most ``known``: whole steps of frequency, so that only they reach the driver."""
     step = F.floor(F.log2("n") * 64)
     room, least = known, None
@@ -102,32 +100,62 @@ def vocabulary(counts: DataFrame, classes: int = CLASSES, known: int = KNOWN) ->
     top = [] if least is None else sorted(counts.filter(step >= least).collect(), key=lambda r: (-r["n"], r["token"]))
     n = np.array([r["n"] for r in top], np.int64)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    classes = min(classes, len(top))
-    return Vocabulary({r["token"].encode(): i for i, r in enumerate(top)}, n, classes, total["n"], total["v"],
-                      int(total["n"] - n[:classes].sum()), total["v"] - classes)
+    return Vocabulary({r["token"].encode(): i for i, r in enumerate(top)}, n, total["n"], total["v"])
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocab) -> Iterator[pa.RecordBatch]:
-    v = vocab.value
+def _encode(batches: Iterator[pa.RecordBatch], text: str, names: tuple[str, str, str], vocab) -> Iterator[pa.RecordBatch]:
+    """Rows without their text, with block and ids; after them a row with the tokens of each block that are not known."""
+    rank, task, nth = vocab.value.rank, TaskContext.get().partitionId(), 0
+    local: dict[bytes, int] = {}
+    held = 0
+    kept: list = []
+
+    def listed() -> pa.RecordBatch:
+        words = pa.array([list(local)], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
+        none = [pa.nulls(1, f.type) for f in kept]
+        return pa.RecordBatch.from_arrays([*none, pa.array([(task << 32) + nth]), pa.nulls(1, pa.list_(pa.int32())), words], [*(f.name for f in kept), *names])
+
     for batch in batches:
-        for part in wd.blocks(batch, batch.schema.names[0], 8 << 20):
+        kept = [f for f in batch.schema if f.name != text]
+        for part in wd.blocks(batch, text, 2 << 20):
             ids = [
-                np.fromiter((v.rank.get(t, v.classes) for t in tokens(x.as_py() or b"")), np.int32)
-                for x in part.column(0).cast(pa.large_binary())
+                np.array([rank[t] if t in rank else len(rank) + local.setdefault(t, len(local)) for t in tokens(x.as_py() or b"")], np.int32)
+                for x in part.column(text).cast(pa.large_binary())
             ]
             ends = np.append(0, np.cumsum([x.size for x in ids]))
-            flat = np.minimum(np.concatenate(ids), v.classes).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["ids"])
-
-
-def start(vocab: Vocabulary, states: int) -> Model:
-    """A first guess: unigram emissions, each state preferring its own share of the classes."""
-    weight = np.append(vocab.count[: vocab.classes], vocab.rare_tokens) + 1.0
-    lean = wd.mix(np.arange(weight.size, dtype=np.uint64)) % np.uint64(states)
-    emit = weight[:, None] * np.where(lean[:, None] == np.arange(states, dtype=np.uint64), 4.0, 1.0)
+            flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+            n = part.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(f.name) for f in kept), pa.array(np.full(n, (task << 32) + nth)), flat, pa.nulls(n, pa.list_(pa.string()))],
+                [*(f.name for f in kept), *names],
+            )
+            held += int(ends[-1])
+            if held >= BLOCK:
+                yield listed()
+                local, held, nth = {}, 0, nth + 1
+    if held:
+        yield listed()
+
+
+def start(counts: DataFrame, vocab: Vocabulary, states: int) -> Learned:
+    """A first guess: unigram emissions, each state preferring its own share of the tokens."""
+    leaning = lambda c: F.crc32(F.encode(c, "UTF-8")) % states
+    total = np.ones(states)
+    for r in counts.groupBy(leaning(F.col("token")).alias("lean")).agg(F.sum(F.col("n") + 1.0).alias("w")).collect():
+        total += r["w"]
+        total[r["lean"]] += 3.0 * r["w"]
+    lean = np.array([crc32(t) % states for t in vocab.rank], np.int64)
+    weight = (vocab.count[:, None] + 1.0) * np.where(lean[:, None] == np.arange(states), 4.0, 1.0)
+    least = int(vocab.count.min()) if vocab.count.size else None
+    step = F.floor(F.log2("n") * 64)
+    rare = counts if least is None else counts.filter(step < F.floor(F.log2(F.lit(least)) * 64))
+    rare = rare.select(
+        "token", "n", *[((F.col("n") + 1.0) * F.when(leaning(F.col("token")) == j, 4.0).otherwise(1.0)).alias(f"w{j}") for j in range(states)]
+    )
     move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
     even = np.full(states, 1.0 / states)
-    return Model(even, even, move, emit / emit.sum(axis=0))
+    emit = np.concatenate([weight.reshape(-1, states), np.ones((1, states))]) / total
+    return Learned(Model(even, even, move, emit), total, rare)
 
 
 def expected(ids: np.ndarray, length: np.ndarray, first: np.ndarray, m: Model):
@@ -158,59 +186,87 @@ def expected(ids: np.ndarray, length: np.ndarray, first: np.ndarray, m: Model):
     return a[0][first].sum(axis=0), a[0][~first].sum(axis=0), move, emitted
 
 
-def _segments(ids: np.ndarray, ends: np.ndarray):
-    """(places, segments) ids, lengths and whether a segment starts a text; longest first."""
-    size = np.diff(ends)
-    pieces = -(-size // SEGMENT)
-    text = np.repeat(np.arange(size.size), pieces)
-    nth = np.arange(text.size) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = ends[:-1][text] + nth * SEGMENT
-    length = np.minimum(SEGMENT, ends[1:][text] - begin)
-    order = np.argsort(-length, kind="stable")
-    begin, length, nth = begin[order], length[order], nth[order]
-    place = begin + np.arange(SEGMENT)[:, None]
-    inside = np.arange(SEGMENT)[:, None] < length
-    return np.where(inside, ids[np.minimum(place, ids.size - 1)], 0), length, nth == 0
-
-
-def _learn(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    m = model.value
+def _local(right: pa.Table, m: Model, total: np.ndarray) -> tuple[Model, np.ndarray, list]:
+    """The model with the emissions of a block's own tokens behind the known ones, their counts and the tokens."""
     states = m.move.shape[0]
-    sums = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros_like(m.emit)]
-    for batch in batches:
-        column = batch.column(0)
-        ids = column.flatten().to_numpy()
-        ends = np.append(0, np.cumsum(column.value_lengths().to_numpy()))
-        if not ids.size:
-            continue
-        block, length, first = _segments(ids, ends)
-        for at in range(0, length.size, 4096):
-            cut = slice(at, at + 4096)
-            steps = int(length[cut].max())
-            for total, found in zip(sums, expected(block[:steps, cut], length[cut], first[cut], m)):
-                total += found
-    rows = np.concatenate([sums[0][None], sums[1][None], sums[2], sums[3]])
-    at = np.flatnonzero(rows.sum(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(rows[at, j]) for j in range(states))], ["k", *(f"s{j}" for j in range(states))])
-
-
-def learn(encoded: DataFrame, vocab: Vocabulary, states: int = STATES, passes: int = PASSES) -> Model:
-    """Baum-Welch on the encoded training texts; emissions lean on the unigram shares with the weight of one token."""
-    model = start(vocab, states)
-    weight = np.append(vocab.count[: vocab.classes], vocab.rare_tokens) + 1.0
-    prior = (weight / weight.sum())[:, None]
-    names = [f"s{j}" for j in range(states)]
+    order = np.argsort(right.column("i").to_numpy())
+    n = right.column("n").fill_null(0).to_numpy()[order]
+    weight = np.stack([right.column(f"w{j}").fill_null(0.0).to_numpy()[order] for j in range(states)], axis=1) / total
+    emit = np.concatenate([m.emit[:-1], np.where(n[:, None] > 0, weight, m.emit[-1])])
+    return m._replace(emit=emit), n, right.column("token").take(pa.array(order))
+
+
+def _flat(left: pa.Table, ids: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    column = left.column(ids).combine_chunks()
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    length = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(), np.cumsum(length) - length, length
+
+
+def _learn(left: pa.Table, right: pa.Table, ids: str, shared) -> pa.Table:
+    m, total = shared.value
+    states, known = m.move.shape[0], m.emit.shape[0] - 1
+    names = ["token", "k", "n", *(f"s{j}" for j in range(states))]
+    schema = pa.schema(list(zip(names, [pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * states])))
+    if not left.num_rows:
+        return schema.empty_table()
+    m, n, words = _local(right, m, total)
+    flat, begin, length = _flat(left, ids)
+    order = np.argsort(-length, kind="stable")
+    sums = [np.zeros(states), np.zeros((states, states)), np.zeros_like(m.emit)]
+    at = 0
+    while at < order.size:
+        steps = int(length[order[at]])
+        some = order[at : at + max(1, _CELLS // steps)]
+        at += some.size
+        place = np.arange(steps)[:, None]
+        block = np.where(place < length[some], flat[np.minimum(begin[some] + place, flat.size - 1)], 0)
+        first, _, move, emitted = expected(block, length[some], np.ones(some.size, bool), m)
+        for all_of, found in zip(sums, (first, move, emitted)):
+            all_of += found
+    fixed = np.concatenate([sums[0][None], sums[1], sums[2][:known]])
+    mine = np.flatnonzero(sums[2][known:].sum(axis=1))
+    rows = np.concatenate([fixed, sums[2][known:][mine]])
+    k = pa.array([*range(len(fixed)), *[-1] * mine.size], pa.int64())
+    token = pa.array([*[None] * len(fixed), *words.take(pa.array(mine)).to_pylist()], pa.string())
+    count = pa.array(np.append(np.zeros(len(fixed), np.int64), n[mine]), pa.int64())
+    return pa.table([token, k, count, *(pa.array(rows[:, j]) for j in range(states))], schema=schema)
+
+
+def _meet(left: DataFrame, listed: DataFrame, rare: DataFrame, block: str, job, schema) -> DataFrame:
+    """``job`` over the texts of each block and the block's own tokens with what is known of them."""
+    right = listed.join(rare, "token", "left")
+    return left.groupBy(block).cogroup(right.groupBy("block")).applyInArrow(job, schema)
+
+
+def learn(encoded: DataFrame, listed: DataFrame, names: tuple[str, str], begin: Learned, passes: int = PASSES) -> Learned:
+    """Baum-Welch on the encoded training texts."""
+    model, total, rare = begin
+    states, known = model.move.shape[0], model.emit.shape[0] - 1
+    sums = [f"s{j}" for j in range(states)]
+    schema = "token string, k long, n long, " + ", ".join(f"{x} double" for x in sums)
+    block, ids = names
     for _ in range(passes):
-        shared = encoded.sparkSession.sparkContext.broadcast(model)
-        found = encoded.mapInArrow(partial(_learn, model=shared), "k long, " + ", ".join(f"{n} double" for n in names))
-        rows = np.zeros((2 + states + weight.size, states))
-        for r in found.groupBy("k").agg(*[F.sum(n).alias(n) for n in names]).toLocalIterator():
-            rows[r["k"]] = [r[n] for n in names]
-        rows[: 2 + states] += 1e-3
-        emit = rows[2 + states :] + prior
-        model = Model(rows[0] / rows[0].sum(), rows[1] / rows[1].sum(), rows[2 : 2 + states] / rows[2 : 2 + states].sum(axis=1, keepdims=True),
-                      emit / emit.sum(axis=0))
-    return model
+        shared = encoded.sparkSession.sparkContext.broadcast((model, total))
+
+        def job(left: pa.Table, right: pa.Table) -> pa.Table:
+            return _learn(left, right, ids, shared)
+
+        found = _meet(encoded.select(block, ids), listed, rare, block, job, schema)
+        found = stored(found.groupBy("k", "token").agg(F.max("n").alias("n"), *[F.sum(x).alias(x) for x in sums]), "expected")
+        rows = np.zeros((1 + states + known, states))
+        for r in found.filter("k >= 0").toLocalIterator():
+            rows[r["k"]] = [r[x] for x in sums]
+        rarer = found.filter("k < 0")
+        more = rarer.agg(F.count("*").alias("types"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in sums]).first()
+        rows[: 1 + states] += 1e-3
+        each = 1.0 / states
+        weight = rows[1 + states :] + each
+        total = weight.sum(axis=0) + np.array([more[x] for x in sums]) + (more["types"] + 1) * each
+        first, move = rows[0] / rows[0].sum(), rows[1 : 1 + states]
+        model = Model(first, first, move / move.sum(axis=1, keepdims=True), np.concatenate([weight, np.full((1, states), each)]) / total)
+        rare = rarer.select("token", "n", *[(F.col(f"s{j}") + each).alias(f"w{j}") for j in range(states)])
+    return Learned(model, total, rare)
 
 
 def forward(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model) -> np.ndarray:
@@ -230,34 +286,18 @@ def forward(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model) ->
     return out
 
 
-def _score(batches: Iterator[pa.RecordBatch], text: str, names: list[str], vocab, model) -> Iterator[pa.RecordBatch]:
-    v, m = vocab.value, model.value
-    base, share = v.base(v.count), v.share(v.count)
-    share[: v.classes] = 0.0
-    for batch in batches:
-        for part in wd.blocks(batch, text, 16 << 20):
-            listed = [tokens(x.as_py() or b"") for x in part.column(text).cast(pa.large_binary())]
-            length = np.array([len(x) for x in listed])
-            begin = np.cumsum(length) - length
-            ids = np.fromiter((v.rank.get(t, -1) for x in listed for t in x), np.int64, int(length.sum()))
-            known = ids >= 0
-            sums = [np.add.reduceat(np.where(known, w[ids] if w.size else 0.0, 0.0), begin) for w in (base, share)]
-            classes = np.where(known, np.minimum(ids, v.classes), v.classes)
-            score = forward(classes, begin, length, m) + sums[1]
-            rare = np.flatnonzero(~known)
-            row = np.searchsorted(begin, rare, "right") - 1
-            words = pa.array([listed[r][i - begin[r]] for r, i in zip(row, rare)], pa.binary()).cast(pa.string())
-            ends = np.append(0, np.cumsum(np.bincount(row, minlength=length.size)))
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in part.schema.names if c != text), pa.array(length.astype(np.int64)),
-                 pa.array(np.add.reduceat(known.astype(np.int64), begin)), pa.array(sums[0]), pa.array(score),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)],
-                [*(c for c in part.schema.names if c != text), *names],
-            )
+def _score(left: pa.Table, right: pa.Table, ids: str, kept: list[str], names: list[str], shared) -> pa.Table:
+    m, total, vocab = shared.value
+    m, n, _ = _local(right, m, total)
+    flat, begin, length = _flat(left, ids)
+    count = np.concatenate([vocab.count, n])[flat]
+    add = lambda x: np.add.reduceat(x, begin) if begin.size else np.zeros(0, x.dtype)
+    found = [length, add((count > 0).astype(np.int64)), add(vocab.base(count)), forward(flat, begin, length, m)]
+    return pa.table([*(left.column(c) for c in kept), *(pa.array(x) for x in found)], names=[*kept, *names])
 
 
 def score(
-    docs: DataFrame, training: Column, text: str = "text", states: int = STATES, classes: int = CLASSES, known: int = KNOWN, passes: int = PASSES,
+    docs: DataFrame, training: Column, text: str = "text", states: int = STATES, known: int = KNOWN, passes: int = PASSES,
 ) -> tuple[DataFrame, list[str], Vocabulary, Model]:
     """``docs`` without the text, with tokens, tokens seen in training, unigram score and the model's score.
 
@@ -266,26 +306,24 @@ def score(
     context = docs.sparkSession.sparkContext
     corpus = docs.filter(training).select(F.col(text).alias("text"))
     counts = stored(corpus.mapInArrow(_count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
-    vocab = vocabulary(counts, classes, known)
-    shared = context.broadcast(vocab)
-    encoded = stored(corpus.mapInArrow(partial(_encode, vocab=shared), "ids array<int>"), "encoded")
-    model = learn(encoded, vocab, states, passes)
-    names = apart(docs, "n_tokens", "n_known", "base_score", "score")
-    rare, key = apart(docs, "rare_tokens", "row_key")
+    vocab = vocabulary(counts, known)
+    flag, block, ids, rare = apart(docs, "in_training", "block", "ids", "rare_tokens")
+    flagged = docs.withColumn(flag, F.coalesce(training, F.lit(False)))
     kept = [f for f in docs.schema.fields if f.name != text]
-    kinds = [T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.StringType())]
-    schema = T.StructType([*kept, *(T.StructField(n, k) for n, k in zip([*names, rare], kinds))])
-    job = partial(_score, text=text, names=[*names, rare], vocab=shared, model=context.broadcast(model))
-    scored = stored(docs.mapInArrow(job, schema).withColumn(key, F.monotonically_increasing_id()), "scored")
-    seen = F.coalesce("n", F.lit(0))
-    found = (
-        scored.select(key, F.explode(rare).alias("token")).join(counts, "token", "left").groupBy(key).agg(
-            F.count("n").alias("more"),
-            F.sum(F.log10((seen + 1.0) / (vocab.tokens + vocab.types + 1.0))).alias("more_base"),
-            F.sum(F.log10((seen + 1.0) / (vocab.rare_tokens + vocab.rare_types + 1.0))).alias("more_score"),
-        )
-    )
-    joined = scored.join(found.withColumnRenamed(key, "k"), F.col(key) == F.col("k"), "left")
-    add = lambda c, more: (F.col(c) + F.coalesce(more, F.lit(0))).alias(c)
-    out = joined.select(*(f.name for f in kept), names[0], add(names[1], "more"), add(names[2], "more_base"), add(names[3], "more_score"))
-    return out, names, vocab, model
+    loose = [T.StructField(f.name, f.dataType, True) for f in flagged.schema.fields if f.name != text]
+    schema = T.StructType([*loose, T.StructField(block, T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(rare, T.ArrayType(T.StringType()))])
+    job = partial(_encode, text=text, names=(block, ids, rare), vocab=context.broadcast(vocab))
+    encoded = stored(flagged.mapInArrow(job, schema), "encoded")
+    texts = encoded.filter(F.col(rare).isNull())
+    listed = encoded.filter(F.col(rare).isNotNull()).select(F.col(block).alias("block"), F.posexplode(rare).alias("i", "token"))
+    learned = learn(texts.filter(F.col(flag)), listed, (block, ids), start(counts, vocab, states), passes)
+    names = apart(docs, "n_tokens", "n_known", "base_score", "score")
+    shared = context.broadcast((learned.model, learned.total, vocab))
+    columns = [f.name for f in kept]
+
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _score(left, right, ids, columns, names, shared)
+
+    kinds = [T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
+    out = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in kept), *(T.StructField(n, k) for n, k in zip(names, kinds))])
+    return _meet(texts.drop(flag), listed, learned.rare, block, judge, out), names, vocab, learned.model

@@ -220,6 +220,17 @@ def test_scores_equal_brute_force(spark, docs):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_rare_tokens_have_states_too(spark):
+    rows = [(i, " ".join(f"a{(i * 7 + j) % 40} b{(i * 5 + j) % 40}" for j in range(100))) for i in range(12)] + [(12, "a1 b2 never"), (13, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    (all_rare, names, *_), (none_rare, *_) = (hmm.score(docs, docs.doc_id < 10, known=k) for k in (0, 1 << 14))
+    a, b = ({r["doc_id"]: r for r in x.collect()} for x in (all_rare, none_rare))
+    assert a.keys() == b.keys() == set(range(14))
+    for i in a:
+        assert list(a[i][n] for n in names) == pytest.approx([b[i][n] for n in names])
+    assert a[10][names[3]] > a[10][names[2]] + 20
+
+
 def test_forward_sums_all_paths():
     rng = np.random.default_rng(1)
     move, emit, first = rng.dirichlet(np.ones(2), 2), rng.dirichlet(np.ones(3), 2).T, np.array([0.3, 0.7])
