@@ -2,10 +2,13 @@
 
 The standard library's parser streams over the page; block elements cut its text into lines. A line's
 ratio is its characters over the tags seen with it. Ratios are smoothed with a Gaussian and split in
-two clusters; lines of the upper one are content. The content region is the smallest element that
-holds most of their text, and all its lines belong to the article, short ones too, except those in
+two clusters; lines of the upper one are content. The content region starts at the smallest element that
+holds most of their text. If an article or main element is around it, that is the region, else the
+smallest element with all content, and from there outwards, below the body, while what is added is mostly
+text outside links. All lines of the region belong to the article, short ones too, except those in
 elements that never hold article text: menus, headers, footers, sidebars, forms, scripts, styles, and
-elements named as notices, adverts or comments.
+elements named as notices, adverts or comments. Where only a part of a name says so (``has-sidebar``), the
+element stays if it holds most of the content. Whatever cannot stand in a head ends it.
 
 A null or empty page, or one without text, gives an empty text. Unclosed elements and cut pages are
 read as far as they go. Repeated rows get equal results, an empty table an empty result. Other
@@ -41,18 +44,21 @@ NAMED = frozenset(
     "login masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted recommended related replies reply respond "
     "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Elements that may stand in a head
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 _CLOSES_P = BLOCKS - {"html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "legend", "summary"}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
 class Line:
-    __slots__ = ("text", "tags", "path")
+    __slots__ = ("text", "tags", "path", "linked")
 
     def __init__(self, path: tuple[int, ...]):
         self.text: list[str] = []
         self.tags = 0
         self.path = path
+        self.linked = 0  # characters in links
 
 
 class Page(HTMLParser):
@@ -63,6 +69,8 @@ class Page(HTMLParser):
         self.open: list[tuple[str, int]] = []
         self.outside = 0  # number of the outermost excluded element, 0 if none
         self.count = 0
+        self.kind: dict[int, str] = {}
+        self.doubted: set[int] = set()  # elements of which a part of a name says that they are excluded
         self.lines: list[Line] = []
         self.line = Line(())
 
@@ -72,6 +80,8 @@ class Page(HTMLParser):
         self.line = Line(tuple(n for _, n in self.open))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self.handle_endtag("head")
         if tag in _CLOSES_P and any(t == "p" for t, _ in self.open):
             self.handle_endtag("p")
         elif tag == "li" and any(t == "li" for t, _ in self.open[self._base() :]):
@@ -86,19 +96,27 @@ class Page(HTMLParser):
             return
         self.count += 1
         self.open.append((tag, self.count))
-        if not self.outside and (tag in OUTSIDE or self._named(tag, attrs)):
+        self.kind[self.count] = "main" if ("role", "main") in attrs else tag
+        named = self._named(tag, attrs)
+        if not self.outside and (tag in OUTSIDE or named == "whole"):
             self.outside = self.count
+        elif named:
+            self.doubted.add(self.count)
         if block:
             self.line.path = tuple(n for _, n in self.open)
 
     def _base(self) -> int:
         return max((i for i, (t, _) in enumerate(self.open) if t in ("ul", "ol", "menu")), default=0)
 
-    def _named(self, tag: str, attrs: list) -> bool:
+    def _named(self, tag: str, attrs: list) -> str:
+        """Whether a whole class, id or role names an excluded part, or a part of one, or none."""
         if tag in ("html", "body", "article", "main"):
-            return False
+            return ""
         said = " ".join(v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v).lower()
-        return bool(said) and not NAMED.isdisjoint(_SPLIT.split(said))
+        names = [[w for w in _SPLIT.split(name) if w] for name in said.split()]
+        if any(name and NAMED.issuperset(name) for name in names):
+            return "whole"
+        return "part" if any(not NAMED.isdisjoint(name) for name in names) else ""
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -120,6 +138,8 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.outside and data:
             self.line.text.append(data)
+            if any(t == "a" for t, _ in self.open):
+                self.line.linked += len(data.strip())
 
     def done(self) -> list[Line]:
         self.close()
@@ -144,6 +164,17 @@ def _content(ratio: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return smooth >= (low + high) / 2
 
 
+def _weights(lines: list[tuple[Line, str]]) -> tuple[np.ndarray, dict[int, float]]:
+    """Content characters of each line and of each element."""
+    length = np.array([len(t) for _, t in lines], float)
+    weight = np.where(_content(length / np.array([max(1, line.tags) for line, _ in lines])), length, 0.0)
+    held: dict[int, float] = {}
+    for (line, _), w in zip(lines, weight):
+        for n in line.path:
+            held[n] = held.get(n, 0.0) + w
+    return weight, held
+
+
 def main_text(html: str | None, most: float = 0.5) -> str:
     """The article's blocks, parted by an empty line."""
     if not html:
@@ -153,20 +184,43 @@ def main_text(html: str | None, most: float = 0.5) -> str:
     lines = [(line, text) for line in page.done() if (text := _SPACE.sub(" ", "".join(line.text)).strip())]
     if not lines:
         return ""
-    length = np.array([len(t) for _, t in lines], float)
-    weight = np.where(_content(length / np.array([max(1, line.tags) for line, _ in lines])), length, 0.0)
-    held: dict[int, float] = {}
-    for (line, _), w in zip(lines, weight):
-        for n in line.path:
-            held[n] = held.get(n, 0.0) + w
-    # the innermost element with most of the content, and from it outwards over lone paragraphs
-    inner = [n for n, w in held.items() if w > most * weight.sum()]
+    weight, held = _weights(lines)
+    dropped = {n for n in page.doubted if held.get(n, 0.0) <= most * weight.sum()}
+    if any(not dropped.isdisjoint(line.path) for line, _ in lines):
+        lines = [(line, text) for line, text in lines if dropped.isdisjoint(line.path)]
+        if not lines:
+            return ""
+        weight, held = _weights(lines)
+    # elements with most of the content, but for lone paragraphs
     blocks = {line.path[-1] for line, _ in lines if line.path}
-    inner = [n for n in inner if n not in blocks or len({id(x) for x, _ in lines if n in x.path}) > 1] or [0]
-    region = max(inner)
+    several: dict[int, int] = {}
+    for line, _ in lines:
+        for n in line.path:
+            several[n] = several.get(n, 0) + 1
+    inner = [n for n, w in held.items() if w > most * weight.sum() and (n not in blocks or several[n] > 1)] or [0]
+    region = _climb(page, lines, max(inner), [n for n in inner if held.get(n, 0.0) >= weight.sum() - 0.5])
     return "\n\n".join(t for line, t in lines if region == 0 or region in line.path)
 
 
+def _climb(page: Page, lines: list[tuple[Line, str]], dense: int, whole: list[int]) -> int:
+    """The article around the densest element; ``whole`` has the elements with all content."""
+    path = next((line.path for line, _ in lines if dense in line.path), ())
+    for kind in ("article", "main"):
+        for n in path[: path.index(dense) + 1] if path else ():
+            if page.kind[n] == kind:
+                return n
+    region = max(whole, default=0)
+    above = path[: path.index(region)] if region in path else ()
+    for n in reversed(above):
+        if page.kind[n] in ("html", "body"):
+            break
+        added = [(line.linked, len(t)) for line, t in lines if n in line.path and region not in line.path]
+        if 2 * sum(a for a, _ in added) > sum(b for _, b in added):
+            break
+        region = n
+    return region
+
+
 def _extract(batches: Iterator[pa.RecordBatch], html: str, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = pa.array([main_text(v.as_py()) for v in batch.column(html)], pa.string())

@@ -191,6 +191,20 @@ def test_main_text():
     assert html.main_text(None) == html.main_text("<nav>x</nav>") == ""
 
 
+def test_main_text_is_whole():
+    long, short = "Many words without any tag in them. " * 17, "A short paragraph."
+    section = f"<section><p>{long}</p><p>{long}</p></section>"
+    rest = f"<h1>Title</h1><p>{short}</p><p>{short}</p>"
+    want = ["Title", short, short, long.strip(), long.strip(), "End."]
+    for page in (
+        f"<body><nav>Menu</nav><article>{rest}{section}<section><p>End.</p></section></article></body>",
+        f"<body><div><a href=x>Menu</a></div><div>{rest}{section}<section><p>End.</p></section></div></body>",
+        f"<body><div class='layout has-sidebar with-comments'><div class='sidebar'>Side</div><div>{rest}{section}<p>End.</p></div></div></body>",
+        f"<html><head><title>t</title><meta charset=utf-8><body><main>{rest}{section}<p>End.</p></main></body>",
+    ):
+        assert html.main_text(page).split("\n\n") == want
+
+
 def test_licences(spark, odd):
     model = licences.train(odd)
     rows = [(1, "text\nReleased under the MIT License.\nAll rights reserved."), (2, "All rights are fine"), (3, None)]
