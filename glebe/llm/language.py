@@ -3,7 +3,8 @@
 Texts are lower-cased, everything but letters becomes one kind of gap. Training counts n-grams of every
 training document per language and slot, summed over the partitions; the table has languages times
 slots entries whatever the corpus, so the log-probability matrix is broadcast. Scoring adds the
-matrix columns of a text's n-grams, a block of texts at a time.
+matrix columns of a text's n-grams and the log prior; the largest sum names the language. The score is the
+probability of that language with sums divided by the root of the number of n-grams.
 
 Null texts and texts without a letter are ``und`` with score 0. Training rows without text or language
 are left out; without any training rows all predictions are ``und``. Ties go to the language that sorts
@@ -93,9 +94,10 @@ class LanguageModel:
             n += piece.size
         if not n:
             return "und", 0.0
-        # per n-gram, as overlapping n-grams are no independent witnesses
-        total = total * (len(LENGTHS) / np.sqrt(n)) / len(LENGTHS) + self.prior
+        total += self.prior
         best = int(np.argmax(total))
+        # the score alone is tempered, as overlapping n-grams are no independent witnesses
+        total /= np.sqrt(n)
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 

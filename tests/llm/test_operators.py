@@ -172,6 +172,17 @@ def test_language_is_learned(spark):
     assert model.predict(None) == model.predict("12 34 !") == ("und", 0.0)
 
 
+def test_rare_language_wins_with_short_texts():
+    text = "zwq zwq zwq zwq zwq"
+    counts = np.full((2, language.SLOTS), 100.0)
+    for piece in language.slots(text):
+        counts[1][piece] *= 2
+    model = language.LanguageModel(["big", "rare"], counts, np.array([9999.0, 1.0]))
+    lang, score = model.predict(text)
+    sums = sum(model.matrix[piece].sum(axis=0) for piece in language.slots(text)) + model.prior
+    assert sums[1] > sums[0] and lang == "rare" and 0.5 < score < 1
+
+
 def test_urls(spark):
     assert urls.split_url("HTTP://A.Example.NET/en/x?q#f") == ("a.example.net", "/en/x")
     assert urls.split_url("no scheme") == ("", "") and urls.split_url("x://h?q/p") == ("h", "")
