@@ -223,6 +223,24 @@ def test_licences(spark, odd):
     assert {r["doc_id"]: (r[n], r[families], r[lines]) for r in found.collect()} == {1: (2, ["mit", "proprietary"], [1, 2]), 2: (0, [], []), 3: (0, [], [])}
 
 
+def test_wrapped_and_several_licences(spark, odd):
+    texts = {
+        "gpl-3.0": "# x\n#\n# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n",
+        "bsd-3-clause": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n",
+        "mit": "// Permission is hereby granted, free of charge, to any person\n// obtaining a copy of this software and associated\n// documentation files (the \"Software\")",
+        "apache-2.0,mit": "SPDX-License-Identifier: MIT OR Apache-2.0",
+        "isc,mpl-2.0": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "cc-by-sa-4.0": "Text.\nLicensed under CC BY-SA 4.0.\nmore", "cc-by-4.0": "This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+        "": "you can modify the terms of this work\nwith or without fee, to any person",
+    }
+    df = spark.createDataFrame([(f, t) for f, t in texts.items()], "want string, text string")
+    found, (n, families, lines, _) = licences.scan(df, licences.train(odd))
+    got = {r["want"]: r for r in found.collect()}
+    assert {k: ",".join(r[families]) for k, r in got.items()} == {k: k for k in texts}
+    assert got["gpl-3.0"][n] == 1 and got["gpl-3.0"][lines] == [2] and got["cc-by-sa-4.0"][lines] == [1]
+
+
 def test_partial_containment(spark):
     words = [f"w{i}" for i in range(10)]
     docs = spark.createDataFrame([(1, " ".join(["a", *words[:4], "zz", *words[5:], "b"])), (2, "w0 w1 w2")], "doc_id long, text string")
