@@ -34,3 +34,28 @@ def apart(df: DataFrame, *names: str) -> list[str]:
         have.add(name.lower())
         out.append(name)
     return out
+
+
+HOT = 1000
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes the folders of ``stored`` tables that nothing reads any more."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in t.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: str, rows: str) -> DataFrame:
+    """Inner join by ``key``, unique in ``right``, where some keys hold a large part of ``left``.
+
+    ``rows`` names the column of ``right`` that says how many rows of ``left`` have the key. Keys with over a
+    ``HOT``-th of all rows are fewer than ``HOT``: they travel to the tasks of ``left``, the others are shuffled.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    hot = F.col(rows) * HOT > total
+    often = F.broadcast(right.filter(hot).drop(rows))
+    rest = left.join(F.broadcast(right.filter(hot).select(key)), key, "left_anti")
+    return left.join(often, key).unionByName(rest.join(right.filter(~hot).drop(rows), key))
