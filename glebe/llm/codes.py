@@ -44,7 +44,7 @@ PARTS = 8
 ENTRIES = 16
 ROUNDS = 6
 BLOCK = 8192
-LEAF = 48
+LEAF = 96
 LARGEST = float(1 << 40)
 EXACT = 1 << 50  # squared distances below it are exact in doubles
 LONGEST = (1 << 63) - 1
@@ -81,29 +81,36 @@ def anchors(points: np.ndarray, mine: np.ndarray, many: int) -> list[np.ndarray]
     first = points[mine[0]]
     far = np.sqrt(((points[mine] - first) ** 2).sum(axis=1))
     order = np.argsort(-far, kind="stable")
-    owned, away, at = [mine[order]], [far[order]], [first]
+    owned, away = [mine[order]], [far[order]]
+    at, top = np.empty((many, points.shape[1])), np.zeros(many)
+    at[0], top[0] = first, away[0][0]
     while len(owned) < many:
-        widest = int(np.argmax([d[0] for d in away]))
-        if away[widest][0] == 0:
+        n = len(owned)
+        widest = int(top[:n].argmax())
+        if top[widest] == 0:
             break  # only equal points are left
         new = points[owned[widest][0]]
-        got, got_far = [], []
-        for i, centre in enumerate(at):
-            half = np.sqrt(((centre - new) ** 2).sum()) / 2
-            some = int(np.searchsorted(-away[i], -half, "right"))  # farther than half: the first ones
-            if not some:
-                continue
-            here = np.sqrt(((points[owned[i][:some]] - new) ** 2).sum(axis=1))
-            moves = here < away[i][:some]
-            stays = np.append(~moves, np.ones(away[i].size - some, bool))
-            got.append(owned[i][:some][moves])
-            got_far.append(here[moves])
-            owned[i], away[i] = owned[i][stays], away[i][stays]
-        mine, far = np.concatenate(got), np.concatenate(got_far)
+        half = np.sqrt(((at[:n] - new) ** 2).sum(axis=1)) / 2
+        looked, tails = np.flatnonzero(top[:n] > half).tolist(), {}
+        for i in looked:  # those farther than half come first
+            tails[i] = int(away[i].size - np.searchsorted(away[i][::-1], half[i], "right"))
+        some = np.concatenate([owned[i][: tails[i]] for i in looked])
+        old = np.concatenate([away[i][: tails[i]] for i in looked])
+        here = np.sqrt(((points[some] - new) ** 2).sum(axis=1))
+        moves = here < old
+        begin = 0
+        for i in looked:
+            stays = ~moves[begin : begin + tails[i]]
+            begin += tails[i]
+            if not stays.all():
+                owned[i] = np.concatenate([owned[i][: tails[i]][stays], owned[i][tails[i] :]])
+                away[i] = np.concatenate([away[i][: tails[i]][stays], away[i][tails[i] :]])
+                top[i] = away[i][0]
+        mine, far = some[moves], here[moves]
         order = np.argsort(-far, kind="stable")
         owned.append(mine[order])
         away.append(far[order])
-        at.append(new)
+        at[n], top[n] = new, away[n][0]
     return owned
 
 
