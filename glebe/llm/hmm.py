@@ -4,40 +4,49 @@ Tokens are words between ASCII white space, A-Z lower-cased, and one end token p
 the training documents has its own emission in every state, and so has one token that stands for all
 never seen. A state's emissions are its expected counts plus ``1 / states`` each, over their sum.
 
-Texts are encoded in blocks of about ``BLOCK`` tokens: the ``known`` most frequent tokens by a table that
-travels to the tasks (for speed only), the others by their place in the list of the block, so that a
-pass joins one row per block and token, not per occurrence. Baum-Welch: in each pass the emissions of
-the listed tokens are joined by token and meet their block's texts, over which the scaled
-forward-backward recursion runs whole, and the expected counts are summed per token in a shuffle. Those
-of rarer tokens stay a table; the driver gets the ``known`` ones and the sums per state.
+The texts are encoded once, in blocks of about ``BLOCK`` tokens, one row a block, in a table bucketed by block that never
+moves again. The ``known`` most frequent tokens are numbered by a table that travels to the tasks (for speed only), the
+others by their place in the block. The tokens are dealt to shards by their hash; a second table, bucketed by
+shard, says for each shard and block which of the shard's tokens stand there, as packed places. A pass
+of Baum-Welch sends each block the packed emissions of its tokens, runs the scaled forward-backward recursion over its
+whole texts, sends the expected counts back to the shards packed in the same order, sums them there and writes what the
+blocks need next; the pass before is deleted. So a pass moves a few bytes per block, token and state, and no text. The
+driver gets the counts of the ``known`` tokens, summed, and the sums per state. Number of blocks, shards and buckets
+grow with the corpus, the rows of one shard do not.
 
 Null and empty texts are one end token. Without training documents every token has probability one.
+A text of over ``LONG`` tokens keeps every ``LONG``-th forward value only and computes the others again on the way back.
 Repeated rows get equal results up to the order of sums, an empty table an empty result. Other columns
 are kept; the new ones avoid their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from math import ceil
 from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glebe.llm import words as wd
-from glebe.llm.tables import apart, stored
+from glebe.llm.tables import apart, released, stored
+from glebe.session import scratch_path
 
 STATES = 4
 KNOWN = 1 << 14
 PASSES = 5
-BLOCK = 1_000_000
+BLOCK = 2_000_000
+LONG = 1 << 16
 END = b"\n"  # no word holds white space
 _FLUSH = 400_000
 _CELLS = 1_000_000
@@ -77,7 +86,6 @@ class Vocabulary(NamedTuple):
 
 class Model(NamedTuple):
     first: np.ndarray  # start of a text
-    later: np.ndarray  # the same: texts are never cut
     move: np.ndarray
     emit: np.ndarray  # (tokens, states), in a learned model the frequent tokens and last the unseen one
 
@@ -85,7 +93,7 @@ class Model(NamedTuple):
 class Learned(NamedTuple):
     model: Model
     total: np.ndarray  # of each state's weights
-    rare: DataFrame  # token, n and weights of all other training tokens
+    emissions: DataFrame  # block, shard and packed weights of the shard's tokens in the block
 
 
 def vocabulary(counts: DataFrame, known: int = KNOWN) -> Vocabulary:
@@ -103,72 +111,119 @@ def vocabulary(counts: DataFrame, known: int = KNOWN) -> Vocabulary:
     return Vocabulary({r["token"].encode(): i for i, r in enumerate(top)}, n, total["n"], total["v"])
 
 
-def _encode(batches: Iterator[pa.RecordBatch], text: str, names: tuple[str, str, str], vocab) -> Iterator[pa.RecordBatch]:
-    """Rows without their text, with block and ids; after them a row with the tokens of each block that are not known."""
+_BLOCK = "block long, ids array<int>, ends array<int>, training array<boolean>, shards array<int>, sizes array<int>"
+_LISTED = "shard int, tokens array<string>, n array<long>"
+
+
+def _encode(batches: Iterator[pa.RecordBatch], text: str, flag: str, shards: int, vocab) -> Iterator[pa.RecordBatch]:
+    """A row per block with its texts' tokens as numbers, and one per block and shard with the shard's tokens in it."""
     rank, task, nth = vocab.value.rank, TaskContext.get().partitionId(), 0
+    known = len(rank)
     local: dict[bytes, int] = {}
-    held = 0
-    kept: list = []
-
-    def listed() -> pa.RecordBatch:
-        words = pa.array([list(local)], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
-        none = [pa.nulls(1, f.type) for f in kept]
-        return pa.RecordBatch.from_arrays([*none, pa.array([(task << 32) + nth]), pa.nulls(1, pa.list_(pa.int32())), words], [*(f.name for f in kept), *names])
+    ids: list[np.ndarray] = []
+    held, rows = 0, []
+
+    def closed() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        number = (task << 32) + nth
+        shard = np.array([crc32(t) % shards for t in local], np.int64)
+        order = np.argsort(shard, kind="stable")
+        place = np.empty(known + order.size, np.int32)
+        place[:known] = np.arange(known)
+        place[known + order] = np.arange(known, known + order.size)
+        flat = place[np.concatenate(ids)]
+        length = np.array([x.size for x in ids])
+        training = np.array(table.column(flag).to_pylist(), bool)
+        n = np.bincount(flat[np.repeat(training, length)], minlength=place.size)[known:]
+        here, begin = np.unique(shard[order], return_index=True)
+        size = np.diff(np.append(begin, order.size))
+        kinds = [pa.list_(pa.int32())] * 2 + [pa.list_(pa.bool_())] + [pa.list_(pa.int32())] * 2
+        packed = [pa.array([x], k) for x, k in zip((flat, np.append(0, np.cumsum(length)), training, here, size), kinds)]
+        names = [c for c in table.schema.names if c not in (text, flag)]
+        columns = [table.column(c).combine_chunks() for c in names]
+        kept = pa.StructArray.from_arrays(columns, names) if names else pa.nulls(table.num_rows, pa.struct([]))
+        ends = pa.array([0, table.num_rows], pa.int32())
+        none = [pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.string())), pa.nulls(1, pa.list_(pa.int64()))]
+        fields = ["block", "ids", "ends", "training", "shards", "sizes", "rows", "shard", "tokens", "n"]
+        yield pa.RecordBatch.from_arrays([pa.array([number]), *packed, pa.ListArray.from_arrays(ends, kept), *none], fields)
+        words = pa.array(list(local), pa.binary()).cast(pa.string()).take(pa.array(order))
+        ends = pa.array(np.append(begin, order.size), pa.int32())
+        none = [pa.nulls(here.size, k) for k in (*kinds, pa.list_(kept.type))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(here.size, number)), *none, pa.array(here, pa.int32()), pa.ListArray.from_arrays(ends, words),
+             pa.ListArray.from_arrays(ends, pa.array(n))], fields,
+        )
 
     for batch in batches:
-        kept = [f for f in batch.schema if f.name != text]
         for part in wd.blocks(batch, text, 2 << 20):
-            ids = [
-                np.array([rank[t] if t in rank else len(rank) + local.setdefault(t, len(local)) for t in tokens(x.as_py() or b"")], np.int32)
-                for x in part.column(text).cast(pa.large_binary())
-            ]
-            ends = np.append(0, np.cumsum([x.size for x in ids]))
-            flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-            n = part.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(f.name) for f in kept), pa.array(np.full(n, (task << 32) + nth)), flat, pa.nulls(n, pa.list_(pa.string()))],
-                [*(f.name for f in kept), *names],
-            )
-            held += int(ends[-1])
+            for x in part.column(text).cast(pa.large_binary()):
+                ids.append(np.array(
+                    [rank[t] if t in rank else known + local.setdefault(t, len(local)) for t in tokens(x.as_py() or b"")], np.int32
+                ))
+                held += ids[-1].size
+            rows.append(part.drop_columns([text]))
             if held >= BLOCK:
-                yield listed()
-                local, held, nth = {}, 0, nth + 1
+                yield from closed()
+                local, ids, held, rows, nth = {}, [], 0, [], nth + 1
     if held:
-        yield listed()
+        yield from closed()
+
+
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` written in the shared folder in buckets of ``key``, so that joins by it do not move it."""
+    path, table = scratch_path(df.sparkSession, name), f"{name}_{uuid.uuid4().hex}"
+    df.write.option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
-def start(counts: DataFrame, vocab: Vocabulary, states: int) -> Learned:
-    """A first guess: unigram emissions, each state preferring its own share of the tokens."""
-    leaning = lambda c: F.crc32(F.encode(c, "UTF-8")) % states
+def _route(listed: pa.Table) -> pa.Table:
+    """Places of the tokens of each block among the sorted tokens of the shard, and how often training has them."""
+    token = listed.column("tokens").combine_chunks()
+    token = pa.concat_arrays(token.chunks) if isinstance(token, pa.ChunkedArray) else token
+    size = token.value_lengths().to_numpy(zero_copy_only=False)
+    found = token.flatten().dictionary_encode()
+    rank = np.empty(len(found.dictionary), np.int64)
+    rank[pc.sort_indices(found.dictionary).to_numpy()] = np.arange(rank.size)
+    place = rank[found.indices.to_numpy(zero_copy_only=False)]
+    n = np.bincount(place, np.concatenate([x.values.to_numpy() for x in listed.column("n")]), rank.size).astype(np.int64)
+    ends = pa.array(np.append(0, np.cumsum(size)), pa.int32())
+    return pa.table({
+        "shard": listed.column("shard"), "block": listed.column("block"),
+        "place": pa.ListArray.from_arrays(ends, pa.array(place, pa.int32())), "n": pa.ListArray.from_arrays(ends, pa.array(n[place])),
+    })
+
+
+def start(counts: DataFrame, vocab: Vocabulary, routes: DataFrame, states: int) -> Learned:
+    """A first guess: unigram emissions, each state preferring its own share of the tokens.
+
+    Shards are dealt so that all tokens of a shard are of one share.
+    """
+    leaning = F.crc32(F.encode("token", "UTF-8")) % states
     total = np.ones(states)
-    for r in counts.groupBy(leaning(F.col("token")).alias("lean")).agg(F.sum(F.col("n") + 1.0).alias("w")).collect():
+    for r in counts.groupBy(leaning.alias("lean")).agg(F.sum(F.col("n") + 1.0).alias("w")).collect():
         total += r["w"]
         total[r["lean"]] += 3.0 * r["w"]
     lean = np.array([crc32(t) % states for t in vocab.rank], np.int64)
     weight = (vocab.count[:, None] + 1.0) * np.where(lean[:, None] == np.arange(states), 4.0, 1.0)
-    least = int(vocab.count.min()) if vocab.count.size else None
-    step = F.floor(F.log2("n") * 64)
-    rare = counts if least is None else counts.filter(step < F.floor(F.log2(F.lit(least)) * 64))
-    rare = rare.select(
-        "token", "n", *[((F.col("n") + 1.0) * F.when(leaning(F.col("token")) == j, 4.0).otherwise(1.0)).alias(f"w{j}") for j in range(states)]
-    )
+    mine = [F.when(F.col("shard") % states == j, 4.0).otherwise(1.0) for j in range(states)]
+    each = F.flatten(F.transform("n", lambda n: F.array(*[F.when(n > 0, (n + 1.0) * w).otherwise(0.0) for w in mine])))
+    emissions = routes.select("block", "shard", each.cast("array<float>").alias("w"))
     move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
-    even = np.full(states, 1.0 / states)
     emit = np.concatenate([weight.reshape(-1, states), np.ones((1, states))]) / total
-    return Learned(Model(even, even, move, emit), total, rare)
+    return Learned(Model(np.full(states, 1.0 / states), move, emit), total, emissions)
 
 
-def expected(ids: np.ndarray, length: np.ndarray, first: np.ndarray, m: Model):
-    """Expected counts of a block of segments: ids (places, segments), longest first."""
+def expected(ids: np.ndarray, length: np.ndarray, m: Model):
+    """Expected counts (first states, moves, emissions) of a block of texts: ids (places, texts), longest first."""
     steps, n = ids.shape
     s = m.move.shape[0]
     emit = m.emit[ids]
-    alive = [int(np.searchsorted(-length, -t, "left")) for t in range(steps)]  # segments longer than t
+    alive = np.searchsorted(-length, -np.arange(steps), "left")  # texts longer than t
     a = np.zeros((steps, n, s))
     scale = np.ones((steps, n, 1))
     for t in range(steps):
         k = alive[t]
-        now = (np.where(first[:, None], m.first, m.later) if t == 0 else a[t - 1, :k] @ m.move) * emit[t, :k]
+        now = (m.first if t == 0 else a[t - 1, :k] @ m.move) * emit[t, :k]
         scale[t, :k] = now.sum(axis=1, keepdims=True)
         a[t, :k] = now / scale[t, :k]
     b = np.ones((n, s))
@@ -183,90 +238,150 @@ def expected(ids: np.ndarray, length: np.ndarray, first: np.ndarray, m: Model):
             b[:k] = after @ m.move.T
     hit = np.arange(steps)[:, None] < length
     emitted = np.stack([np.bincount(ids[hit], a[:, :, j][hit], m.emit.shape[0]) for j in range(s)], axis=1)
-    return a[0][first].sum(axis=0), a[0][~first].sum(axis=0), move, emitted
-
+    return a[0].sum(axis=0), move, emitted
 
-def _local(right: pa.Table, m: Model, total: np.ndarray) -> tuple[Model, np.ndarray, list]:
-    """The model with the emissions of a block's own tokens behind the known ones, their counts and the tokens."""
-    states = m.move.shape[0]
-    order = np.argsort(right.column("i").to_numpy())
-    n = right.column("n").fill_null(0).to_numpy()[order]
-    weight = np.stack([right.column(f"w{j}").fill_null(0.0).to_numpy()[order] for j in range(states)], axis=1) / total
-    emit = np.concatenate([m.emit[:-1], np.where(n[:, None] > 0, weight, m.emit[-1])])
-    return m._replace(emit=emit), n, right.column("token").take(pa.array(order))
 
+def expected_long(ids: np.ndarray, m: Model, every: int = LONG):
+    """The same for one long text; the forward values between every ``every``-th are computed twice instead of kept."""
+    s = m.move.shape[0]
 
-def _flat(left: pa.Table, ids: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    column = left.column(ids).combine_chunks()
-    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
-    length = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    return column.flatten().to_numpy(), np.cumsum(length) - length, length
+    def ahead(part: np.ndarray, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        emit = m.emit[part]
+        a, scale = np.empty((part.size, s)), np.empty(part.size)
+        for t in range(part.size):
+            now = (m.first if before is None else before @ m.move) * emit[t]
+            scale[t] = now.sum()
+            a[t] = before = now / scale[t]
+        return a, scale
+
+    kept: list = [None]
+    for lo in range(0, ids.size - every, every):
+        kept.append(ahead(ids[lo : lo + every], kept[-1])[0][-1])
+    b, move, emitted = np.ones(s), np.zeros((s, s)), np.zeros_like(m.emit)
+    for k in range(len(kept) - 1, -1, -1):
+        part = ids[k * every : (k + 1) * every]
+        a, scale = ahead(part, kept[k])
+        emit, state = m.emit[part], np.empty_like(a)
+        for t in range(part.size - 1, -1, -1):
+            after = emit[t] * b / scale[t]
+            state[t] = a[t] * b
+            before = a[t - 1] if t else kept[k]
+            if before is not None:
+                move += m.move * np.outer(before, after)
+                b = m.move @ after
+        for j in range(s):
+            emitted[:, j] += np.bincount(part, state[:, j], m.emit.shape[0])
+    return state[0], move, emitted
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(x.values.to_numpy(zero_copy_only=False) for x in column if x.is_valid)])
+
+
+def _local(right: pa.Table, m: Model, total: np.ndarray) -> Model:
+    """The model with the emissions of a block's own tokens behind the known ones."""
+    right = right.sort_by("shard")
+    weight = _numbers(right.column("w")).reshape(-1, total.size) / total
+    return m._replace(emit=np.concatenate([m.emit[:-1], np.where(weight > 0, weight, m.emit[-1])]))
+
+
+_SENT = "shard int, block long, sums array<float>"
+
+
+def _learn(left: pa.Table, right: pa.Table, spread: int, shared) -> pa.Table:
+    """Expected counts of a block: a row per shard, and one for the known tokens and the moves."""
+    m, total = shared.value
+    known = m.emit.shape[0] - 1
+    rows: list[dict] = []
+    for block in left.select(["block", "ids", "ends", "training", "shards", "sizes"]).to_batches():
+        for i in range(block.num_rows):
+            number = block.column("block")[i].as_py()
+            flat, ends, training, shards, sizes = (block.column(c)[i].values.to_numpy(zero_copy_only=False) for c in block.schema.names[1:])
+            m = _local(right, m, total)
+            mine = np.flatnonzero(training)
+            begin, length = ends[:-1][mine].astype(np.int64), np.diff(ends)[mine].astype(np.int64)
+            first, move, emitted = _sum(flat, begin, length, m)
+            fixed = np.concatenate([first[None], move, emitted[:known]])
+            rows.append({"shard": -1 - number % spread, "block": number, "sums": fixed.ravel().astype(np.float32)})
+            cut = known + np.append(0, np.cumsum(sizes))
+            rows += [{"shard": s, "block": number, "sums": emitted[a:b].ravel().astype(np.float32)} for s, a, b in zip(shards.tolist(), cut, cut[1:])]
+    return pa.Table.from_pylist(rows, pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("sums", pa.list_(pa.float32()))]))
+
+
+def _sum(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model):
+    states = m.move.shape[0]
+    sums = [np.zeros(states), np.zeros((states, states)), np.zeros_like(m.emit)]
 
+    def add(found) -> None:
+        for all_of, some in zip(sums, found):
+            all_of += some
 
-def _learn(left: pa.Table, right: pa.Table, ids: str, shared) -> pa.Table:
-    m, total = shared.value
-    states, known = m.move.shape[0], m.emit.shape[0] - 1
-    names = ["token", "k", "n", *(f"s{j}" for j in range(states))]
-    schema = pa.schema(list(zip(names, [pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * states])))
-    if not left.num_rows:
-        return schema.empty_table()
-    m, n, words = _local(right, m, total)
-    flat, begin, length = _flat(left, ids)
+    for i in np.flatnonzero(length > LONG):
+        add(expected_long(flat[begin[i] : begin[i] + length[i]], m))
     order = np.argsort(-length, kind="stable")
-    sums = [np.zeros(states), np.zeros((states, states)), np.zeros_like(m.emit)]
+    order = order[length[order] <= LONG]
     at = 0
     while at < order.size:
         steps = int(length[order[at]])
         some = order[at : at + max(1, _CELLS // steps)]
         at += some.size
         place = np.arange(steps)[:, None]
-        block = np.where(place < length[some], flat[np.minimum(begin[some] + place, flat.size - 1)], 0)
-        first, _, move, emitted = expected(block, length[some], np.ones(some.size, bool), m)
-        for all_of, found in zip(sums, (first, move, emitted)):
-            all_of += found
-    fixed = np.concatenate([sums[0][None], sums[1], sums[2][:known]])
-    mine = np.flatnonzero(sums[2][known:].sum(axis=1))
-    rows = np.concatenate([fixed, sums[2][known:][mine]])
-    k = pa.array([*range(len(fixed)), *[-1] * mine.size], pa.int64())
-    token = pa.array([*[None] * len(fixed), *words.take(pa.array(mine)).to_pylist()], pa.string())
-    count = pa.array(np.append(np.zeros(len(fixed), np.int64), n[mine]), pa.int64())
-    return pa.table([token, k, count, *(pa.array(rows[:, j]) for j in range(states))], schema=schema)
-
-
-def _meet(left: DataFrame, listed: DataFrame, rare: DataFrame, block: str, job, schema) -> DataFrame:
-    """``job`` over the texts of each block and the block's own tokens with what is known of them."""
-    right = listed.join(rare, "token", "left")
-    return left.groupBy(block).cogroup(right.groupBy("block")).applyInArrow(job, schema)
-
-
-def learn(encoded: DataFrame, listed: DataFrame, names: tuple[str, str], begin: Learned, passes: int = PASSES) -> Learned:
-    """Baum-Welch on the encoded training texts."""
-    model, total, rare = begin
+        add(expected(np.where(place < length[some], flat[np.minimum(begin[some] + place, flat.size - 1)], 0), length[some], m))
+    return sums
+
+
+def _gather(routes: pa.Table, counts: pa.Table, states: int) -> pa.Table:
+    """New weights of a shard's tokens for each of its blocks, and their sums; the known tokens' counts are only summed."""
+    schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("w", pa.list_(pa.float32())), ("sums", pa.list_(pa.float64()))])
+    shard = (routes if routes.num_rows else counts).column("shard")[0].as_py()
+    if shard < 0:
+        sums = np.sum([x.values.to_numpy() for x in counts.column("sums")], axis=0, dtype=float)
+        return pa.Table.from_pylist([{"block": None, "shard": shard, "w": None, "sums": sums}], schema)
+    at = {b.as_py(): p.values.to_numpy() for b, p in zip(routes.column("block"), routes.column("place"))}
+    n = np.zeros(1 + max((int(p.max()) for p in at.values()), default=-1), np.int64)
+    for b, x in zip(routes.column("block"), routes.column("n")):
+        n[at[b.as_py()]] = x.values.to_numpy()
+    weight = np.zeros((n.size, states))
+    for b, x in zip(counts.column("block"), counts.column("sums")):
+        weight[at[b.as_py()]] += x.values.to_numpy().reshape(-1, states)
+    weight = np.where(n[:, None] > 0, weight + 1.0 / states, 0.0)
+    rows = [{"block": b, "shard": shard, "w": weight[p].ravel().astype(np.float32), "sums": None} for b, p in at.items()]
+    return pa.Table.from_pylist([*rows, {"block": None, "shard": shard, "w": None, "sums": weight.sum(axis=0)}], schema)
+
+
+def learn(blocks: DataFrame, routes: DataFrame, begin: Learned, passes: int = PASSES, spread: int = 1) -> Learned:
+    """Baum-Welch on the training texts of the encoded blocks."""
+    model, total, emissions = begin
     states, known = model.move.shape[0], model.emit.shape[0] - 1
-    sums = [f"s{j}" for j in range(states)]
-    schema = "token string, k long, n long, " + ", ".join(f"{x} double" for x in sums)
-    block, ids = names
+    spark = blocks.sparkSession
+    old = None
     for _ in range(passes):
-        shared = encoded.sparkSession.sparkContext.broadcast((model, total))
+        shared = spark.sparkContext.broadcast((model, total))
 
         def job(left: pa.Table, right: pa.Table) -> pa.Table:
-            return _learn(left, right, ids, shared)
-
-        found = _meet(encoded.select(block, ids), listed, rare, block, job, schema)
-        found = stored(found.groupBy("k", "token").agg(F.max("n").alias("n"), *[F.sum(x).alias(x) for x in sums]), "expected")
-        rows = np.zeros((1 + states + known, states))
-        for r in found.filter("k >= 0").toLocalIterator():
-            rows[r["k"]] = [r[x] for x in sums]
-        rarer = found.filter("k < 0")
-        more = rarer.agg(F.count("*").alias("types"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in sums]).first()
+            return _learn(left, right, spread, shared)
+
+        def gathered(left: pa.Table, right: pa.Table) -> pa.Table:
+            return _gather(left, right, states)
+
+        counts = blocks.groupBy("block").cogroup(emissions.groupBy("block")).applyInArrow(job, _SENT)
+        new = routes.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(gathered, "block long, shard int, w array<float>, sums array<double>")
+        found = stored(new, "emissions")
+        if old is not None:
+            released(old)
+        old = found
+        summed = found.filter("block IS NULL").select((F.col("shard") < 0).alias("fixed"), F.posexplode("sums").alias("i", "x"))
+        rows, rarer = np.zeros((1 + states + known, states)), np.zeros(states)
+        for r in summed.groupBy("fixed", "i").agg(F.sum("x").alias("x")).toLocalIterator():
+            (rows if r["fixed"] else rarer).flat[r["i"]] = r["x"]
         rows[: 1 + states] += 1e-3
         each = 1.0 / states
         weight = rows[1 + states :] + each
-        total = weight.sum(axis=0) + np.array([more[x] for x in sums]) + (more["types"] + 1) * each
+        total = weight.sum(axis=0) + rarer + each
         first, move = rows[0] / rows[0].sum(), rows[1 : 1 + states]
-        model = Model(first, first, move / move.sum(axis=1, keepdims=True), np.concatenate([weight, np.full((1, states), each)]) / total)
-        rare = rarer.select("token", "n", *[(F.col(f"s{j}") + each).alias(f"w{j}") for j in range(states)])
-    return Learned(model, total, rare)
+        model = Model(first, move / move.sum(axis=1, keepdims=True), np.concatenate([weight, np.full((1, states), each)]) / total)
+        emissions = found.filter("block IS NOT NULL").select("block", "shard", "w")
+    return Learned(model, total, emissions)
 
 
 def forward(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model) -> np.ndarray:
@@ -286,14 +401,23 @@ def forward(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model) ->
     return out
 
 
-def _score(left: pa.Table, right: pa.Table, ids: str, kept: list[str], names: list[str], shared) -> pa.Table:
+def _score(left: pa.Table, right: pa.Table, names: list[str], shared) -> pa.Table:
     m, total, vocab = shared.value
-    m, n, _ = _local(right, m, total)
-    flat, begin, length = _flat(left, ids)
-    count = np.concatenate([vocab.count, n])[flat]
-    add = lambda x: np.add.reduceat(x, begin) if begin.size else np.zeros(0, x.dtype)
-    found = [length, add((count > 0).astype(np.int64)), add(vocab.base(count)), forward(flat, begin, length, m)]
-    return pa.table([*(left.column(c) for c in kept), *(pa.array(x) for x in found)], names=[*kept, *names])
+    right = right.sort_by("shard")
+    m = _local(right.filter(right.column("w").is_valid()), m, total)
+    n = _numbers(right.column("n"))
+    out = []
+    for block in left.select(["ids", "ends", "rows"]).to_batches():
+        for i in range(block.num_rows):
+            flat, ends = (block.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("ids", "ends"))
+            begin, length = ends[:-1].astype(np.int64), np.diff(ends).astype(np.int64)
+            count = np.concatenate([vocab.count, n])[flat]
+            known, base = np.add.reduceat((count > 0).astype(np.int64), begin), np.add.reduceat(vocab.base(count), begin)
+            kept = block.column("rows")[i].values
+            columns = [kept.field(f) for f in range(kept.type.num_fields)]
+            found = [length, known, base, forward(flat, begin, length, m)]
+            out.append(pa.table([*columns, *(pa.array(x) for x in found)], names=[*(f.name for f in kept.type), *names]))
+    return pa.concat_tables(out)
 
 
 def score(
@@ -307,23 +431,31 @@ def score(
     corpus = docs.filter(training).select(F.col(text).alias("text"))
     counts = stored(corpus.mapInArrow(_count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
     vocab = vocabulary(counts, known)
-    flag, block, ids, rare = apart(docs, "in_training", "block", "ids", "rare_tokens")
+    many = ceil(vocab.tokens / BLOCK) + 1
+    shards, buckets, spread = states * many, min(20_000, 2 * many + 6), max(1, many // 256)
+    flag, = apart(docs, "in_training")
+    kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields if f.name != text])
+    schema = T.StructType([*T.StructType.fromDDL(_BLOCK).fields, T.StructField("rows", T.ArrayType(kept)), *T.StructType.fromDDL(_LISTED).fields])
+    job = partial(_encode, text=text, flag=flag, shards=shards, vocab=context.broadcast(vocab))
     flagged = docs.withColumn(flag, F.coalesce(training, F.lit(False)))
-    kept = [f for f in docs.schema.fields if f.name != text]
-    loose = [T.StructField(f.name, f.dataType, True) for f in flagged.schema.fields if f.name != text]
-    schema = T.StructType([*loose, T.StructField(block, T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(rare, T.ArrayType(T.StringType()))])
-    job = partial(_encode, text=text, names=(block, ids, rare), vocab=context.broadcast(vocab))
-    encoded = stored(flagged.mapInArrow(job, schema), "encoded")
-    texts = encoded.filter(F.col(rare).isNull())
-    listed = encoded.filter(F.col(rare).isNotNull()).select(F.col(block).alias("block"), F.posexplode(rare).alias("i", "token"))
-    learned = learn(texts.filter(F.col(flag)), listed, (block, ids), start(counts, vocab, states), passes)
+    encoded = bucketed(flagged.mapInArrow(job, schema), "encoded", "block", buckets)
+    blocks = encoded.filter("ids IS NOT NULL")
+    listed = encoded.filter("tokens IS NOT NULL").select("shard", "block", "tokens", "n")
+    routed = listed.groupBy("shard").applyInArrow(_route, "shard int, block long, place array<int>, n array<long>")
+    routes = bucketed(routed, "routes", "shard", buckets)
+    texts = blocks.select("block", "ids", "ends", "training", "shards", "sizes")
+    learned = learn(texts, routes, start(counts, vocab, routes, states), passes, spread)
     names = apart(docs, "n_tokens", "n_known", "base_score", "score")
     shared = context.broadcast((learned.model, learned.total, vocab))
-    columns = [f.name for f in kept]
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score(left, right, ids, columns, names, shared)
+        return _score(left, right, names, shared)
 
+    none = F.lit(None)
+    packed = learned.emissions.select("block", "shard", "w", none.cast("array<bigint>").alias("n")).unionByName(
+        routes.select("block", "shard", none.cast("array<float>").alias("w"), "n")
+    )
     kinds = [T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
-    out = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in kept), *(T.StructField(n, k) for n, k in zip(names, kinds))])
-    return _meet(texts.drop(flag), listed, learned.rare, block, judge, out), names, vocab, learned.model
+    out = T.StructType([*kept.fields, *(T.StructField(n, k) for n, k in zip(names, kinds))])
+    found = blocks.select("block", "ids", "ends", "rows").groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(judge, out)
+    return found, names, vocab, learned.model

@@ -277,7 +277,7 @@ def test_rare_tokens_have_states_too(spark):
 def test_forward_sums_all_paths():
     rng = np.random.default_rng(1)
     move, emit, first = rng.dirichlet(np.ones(2), 2), rng.dirichlet(np.ones(3), 2).T, np.array([0.3, 0.7])
-    m = hmm.Model(first, first, move, emit)
+    m = hmm.Model(first, move, emit)
     ids = np.array([0, 2, 1, 1])
     total = 0.0
     for path in np.ndindex(2, 2, 2, 2):
@@ -288,6 +288,55 @@ def test_forward_sums_all_paths():
     assert hmm.forward(ids, np.array([0]), np.array([4]), m)[0] == pytest.approx(log10(total))
 
 
+def every_path(ids, m):
+    """Expected first states, moves and emissions, over all paths of states."""
+    s, weight, total = len(m.first), [np.zeros(len(m.first)), np.zeros_like(m.move), np.zeros_like(m.emit)], 0.0
+    for path in np.ndindex(*[s] * len(ids)):
+        p = m.first[path[0]] * np.prod([m.emit[i, q] for i, q in zip(ids, path)]) * np.prod([m.move[a, b] for a, b in zip(path, path[1:])])
+        total += p
+        weight[0][path[0]] += p
+        for a, b in zip(path, path[1:]):
+            weight[1][a, b] += p
+        for i, q in zip(ids, path):
+            weight[2][i, q] += p
+    return [w / total for w in weight]
+
+
+def test_expected_counts_sum_all_paths():
+    rng = np.random.default_rng(3)
+    m = hmm.Model(np.array([0.5, 0.2, 0.3]), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(4), 3).T)
+    texts = [[0, 1, 3, 2, 1, 0, 0], [2, 2, 1], [3]]
+    want = [sum(x) for x in zip(*(every_path(t, m) for t in texts))]
+    ids = np.array([[t[k] if k < len(t) else 0 for t in texts] for k in range(7)])
+    for got, w in zip(hmm.expected(ids, np.array([7, 3, 1]), m), want):
+        assert got == pytest.approx(w)
+    for every in (1, 2, 3, 7, 100):
+        for t in texts:
+            for got, w in zip(hmm.expected_long(np.array(t), m, every), every_path(t, m)):
+                assert got == pytest.approx(w)
+
+
+def test_training_likelihood_does_not_fall(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "BLOCK", 3000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60).repartition(3)
+    scores = []
+    for passes in (0, 1, 3):
+        found, names, *_ = hmm.score(docs, docs.doc_id.isNotNull(), known=50, passes=passes)
+        scores.append(sum(r[names[3]] for r in found.collect()))
+    assert scores[0] < scores[1] < scores[2]
+
+
+def test_scores_of_odd_rows(spark, odd, monkeypatch):
+    monkeypatch.setattr(hmm, "LONG", 1000)
+    for training in (odd.doc_id != 7, odd.doc_id < 0):
+        found, names, vocab, _ = hmm.score(odd.withColumn("score", odd.lang), training)
+        got = found.collect()
+        assert found.columns == [c for c in odd.columns if c != "text"] + ["score", *names] and len(got) == len(ROWS)
+        assert sorted(r[names[0]] for r in got) == sorted(len(spaced(r[1])) + 1 for r in ROWS)
+        assert all(np.isfinite(r[names[3]]) and r[names[3]] <= 1e-9 for r in got)
+    assert hmm.score(odd.limit(0), odd.doc_id > 0)[0].count() == 0
+
+
 def test_digests_are_of_item_lists(spark):
     row = QUERIES["op8_decontaminate"](spark, SF).filter("n_items = 0").first()
     assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
