@@ -11,11 +11,10 @@ shard, says for each shard and block which of the shard's tokens stand there, as
 of Baum-Welch sends each block the packed emissions of its tokens, runs the scaled forward-backward recursion over its
 whole texts, sends the expected counts back to the shards packed in the same order, sums them there and writes what the
 blocks need next; the pass before is deleted. So a pass moves a few bytes per block, token and state, and no text. The
-driver gets the counts of the ``known`` tokens, summed, and the sums per state. Number of blocks, shards and buckets
-grow with the corpus, the rows of one shard do not.
+driver gets sums per state. Numbers of blocks, shards and buckets grow with the corpus.
 
 Null and empty texts are one end token. Without training documents every token has probability one.
-A text of over ``LONG`` tokens keeps every ``LONG``-th forward value only and computes the others again on the way back.
+The recursions are scaled at every ``SCALED``-th token. A text of over ``LONG`` tokens keeps every ``LONG``-th forward value only and computes the others again on the way back.
 Repeated rows get equal results up to the order of sums, an empty table an empty result. Other columns
 are kept; the new ones avoid their names.
 """
@@ -23,7 +22,6 @@ are kept; the new ones avoid their names.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 from math import ceil
@@ -39,44 +37,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glebe.llm import words as wd
-from glebe.llm.tables import apart, released, stored
+from glebe.llm.tables import apart, released, shuffles_dropped, stored
 from glebe.session import scratch_path
 
 STATES = 4
-KNOWN = 1 << 14
 PASSES = 5
 BLOCK = 2_000_000
 LONG = 1 << 16
+SCALED = 8
+BYTES = 5  # of a token, for the number of shards only
 END = b"\n"  # no word holds white space
-_FLUSH = 400_000
-_CELLS = 1_000_000
+_CELLS = 500_000
 
 
 def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
-
-    def rows() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())], ["token", "n"]
-        )
-        held.clear()
-        return out
-
-    for batch in batches:
-        for text in batch.column(0).cast(pa.large_binary()):
-            held.update(tokens(text.as_py() or b""))
-            if len(held) > _FLUSH:
-                yield rows()
-    yield rows()
-
-
 class Vocabulary(NamedTuple):
-    rank: dict[bytes, int]  # of the most frequent tokens
-    count: np.ndarray
     tokens: int  # all training tokens
     types: int
 
@@ -87,7 +65,7 @@ class Vocabulary(NamedTuple):
 class Model(NamedTuple):
     first: np.ndarray  # start of a text
     move: np.ndarray
-    emit: np.ndarray  # (tokens, states), in a learned model the frequent tokens and last the unseen one
+    emit: np.ndarray  # (tokens, states), last the unseen token; a learned model has only that
 
 
 class Learned(NamedTuple):
@@ -96,149 +74,179 @@ class Learned(NamedTuple):
     emissions: DataFrame  # block, shard and packed weights of the shard's tokens in the block
 
 
-def vocabulary(counts: DataFrame, known: int = KNOWN) -> Vocabulary:
-    """The most frequent tokens, at most ``known``: whole steps of frequency, so that only they reach the driver."""
-    step = F.floor(F.log2("n") * 64)
-    room, least = known, None
-    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
-        room -= r["count"]
-        if room < 0:
-            break
-        least = r["step"]
-    top = [] if least is None else sorted(counts.filter(step >= least).collect(), key=lambda r: (-r["n"], r["token"]))
-    n = np.array([r["n"] for r in top], np.int64)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    return Vocabulary({r["token"].encode(): i for i, r in enumerate(top)}, n, total["n"], total["v"])
+class Numbers(dict):
+    """Each token's number, the next free one for a new token."""
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = n = len(self)
+        return n
+
 
+def packed(ids: np.ndarray) -> bytes:
+    """Two bytes for most numbers, four more for those beyond."""
+    return ids.size.to_bytes(8, "little") + np.minimum(ids, 0xFFFF).astype("<u2").tobytes() + ids[ids >= 0xFFFF].astype("<i4").tobytes()
 
-_BLOCK = "block long, ids array<int>, ends array<int>, training array<boolean>, shards array<int>, sizes array<int>"
-_LISTED = "shard int, tokens array<string>, n array<long>"
 
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    ids = np.frombuffer(data, "<u2", n, 8).astype(np.int64)
+    ids[ids == 0xFFFF] = np.frombuffer(data, "<i4", -1, 8 + 2 * n)
+    return ids
 
-def _encode(batches: Iterator[pa.RecordBatch], text: str, flag: str, shards: int, vocab) -> Iterator[pa.RecordBatch]:
+
+_BLOCK = "block long, ids binary, lengths binary, training binary, shards binary, sizes binary"
+_LISTED = "shard int, tokens binary, n binary"
+
+
+def _bytes(x: np.ndarray, kind: str) -> bytes:
+    return np.asarray(x).astype(kind).tobytes()
+
+
+def _encode(batches: Iterator[pa.RecordBatch], text: str, flag: str, shards: int) -> Iterator[pa.RecordBatch]:
     """A row per block with its texts' tokens as numbers, and one per block and shard with the shard's tokens in it."""
-    rank, task, nth = vocab.value.rank, TaskContext.get().partitionId(), 0
-    known = len(rank)
-    local: dict[bytes, int] = {}
+    task, nth = TaskContext.get().partitionId(), 0
+    number = Numbers()
     ids: list[np.ndarray] = []
     held, rows = 0, []
 
-    def closed() -> Iterator[pa.RecordBatch]:
+    def closed() -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
-        number = (task << 32) + nth
+        local = list(number)
         shard = np.array([crc32(t) % shards for t in local], np.int64)
         order = np.argsort(shard, kind="stable")
-        place = np.empty(known + order.size, np.int32)
-        place[:known] = np.arange(known)
-        place[known + order] = np.arange(known, known + order.size)
+        place = np.empty_like(order)
+        place[order] = np.arange(order.size)
         flat = place[np.concatenate(ids)]
         length = np.array([x.size for x in ids])
         training = np.array(table.column(flag).to_pylist(), bool)
-        n = np.bincount(flat[np.repeat(training, length)], minlength=place.size)[known:]
+        n = np.bincount(flat[np.repeat(training, length)], minlength=place.size)
         here, begin = np.unique(shard[order], return_index=True)
         size = np.diff(np.append(begin, order.size))
-        kinds = [pa.list_(pa.int32())] * 2 + [pa.list_(pa.bool_())] + [pa.list_(pa.int32())] * 2
-        packed = [pa.array([x], k) for x, k in zip((flat, np.append(0, np.cumsum(length)), training, here, size), kinds)]
         names = [c for c in table.schema.names if c not in (text, flag)]
         columns = [table.column(c).combine_chunks() for c in names]
         kept = pa.StructArray.from_arrays(columns, names) if names else pa.nulls(table.num_rows, pa.struct([]))
-        ends = pa.array([0, table.num_rows], pa.int32())
-        none = [pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.string())), pa.nulls(1, pa.list_(pa.int64()))]
-        fields = ["block", "ids", "ends", "training", "shards", "sizes", "rows", "shard", "tokens", "n"]
-        yield pa.RecordBatch.from_arrays([pa.array([number]), *packed, pa.ListArray.from_arrays(ends, kept), *none], fields)
-        words = pa.array(list(local), pa.binary()).cast(pa.string()).take(pa.array(order))
-        ends = pa.array(np.append(begin, order.size), pa.int32())
-        none = [pa.nulls(here.size, k) for k in (*kinds, pa.list_(kept.type))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(here.size, number)), *none, pa.array(here, pa.int32()), pa.ListArray.from_arrays(ends, words),
-             pa.ListArray.from_arrays(ends, pa.array(n))], fields,
-        )
+        first = [packed(flat), _bytes(length, "<i4"), _bytes(training, "?"), _bytes(here, "<i4"), _bytes(size, "<i4")]
+        cuts = list(zip(begin.tolist(), (begin + size).tolist()))
+        tokens_of = [b" ".join(local[i] for i in order[a:b].tolist()) for a, b in cuts]
+        n_of = [_bytes(n[a:b], "<i8") for a, b in cuts]
+        more = here.size
+        lists = pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, table.num_rows], pa.int32()), kept), pa.nulls(more, pa.list_(kept.type))])
+        columns = [pa.array([(task << 32) + nth] * (1 + more)), *(pa.array([x] + [None] * more, pa.binary()) for x in first), lists,
+                   pa.array([None, *here.tolist()], pa.int32()), pa.array([None, *tokens_of], pa.binary()), pa.array([None, *n_of], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["block", "ids", "lengths", "training", "shards", "sizes", "rows", "shard", "tokens", "n"])
 
     for batch in batches:
         for part in wd.blocks(batch, text, 2 << 20):
             for x in part.column(text).cast(pa.large_binary()):
-                ids.append(np.array(
-                    [rank[t] if t in rank else known + local.setdefault(t, len(local)) for t in tokens(x.as_py() or b"")], np.int32
-                ))
-                held += ids[-1].size
+                said = tokens(x.as_py() or b"")
+                ids.append(np.fromiter(map(number.__getitem__, said), np.int32, len(said)))
+                held += len(said)
             rows.append(part.drop_columns([text]))
             if held >= BLOCK:
-                yield from closed()
-                local, ids, held, rows, nth = {}, [], 0, [], nth + 1
+                yield closed()
+                number, ids, held, rows, nth = Numbers(), [], 0, [], nth + 1
     if held:
-        yield from closed()
+        yield closed()
 
 
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """``df`` written in the shared folder in buckets of ``key``, so that joins by it do not move it."""
     path, table = scratch_path(df.sparkSession, name), f"{name}_{uuid.uuid4().hex}"
-    df.write.option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("path", path).bucketBy(buckets, key).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
+_ROUTED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("place", pa.binary()), ("n", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
+
+
 def _route(listed: pa.Table) -> pa.Table:
-    """Places of the tokens of each block among the sorted tokens of the shard, and how often training has them."""
-    token = listed.column("tokens").combine_chunks()
-    token = pa.concat_arrays(token.chunks) if isinstance(token, pa.ChunkedArray) else token
-    size = token.value_lengths().to_numpy(zero_copy_only=False)
-    found = token.flatten().dictionary_encode()
+    """Places of the tokens of each block among the sorted tokens of the shard, and how often training has them; last the shard's sums."""
+    lists = [t.as_py().split(b" ") for t in listed.column("tokens")]
+    found = pa.array([t for some in lists for t in some], pa.binary()).dictionary_encode()
     rank = np.empty(len(found.dictionary), np.int64)
     rank[pc.sort_indices(found.dictionary).to_numpy()] = np.arange(rank.size)
     place = rank[found.indices.to_numpy(zero_copy_only=False)]
-    n = np.bincount(place, np.concatenate([x.values.to_numpy() for x in listed.column("n")]), rank.size).astype(np.int64)
-    ends = pa.array(np.append(0, np.cumsum(size)), pa.int32())
-    return pa.table({
-        "shard": listed.column("shard"), "block": listed.column("block"),
-        "place": pa.ListArray.from_arrays(ends, pa.array(place, pa.int32())), "n": pa.ListArray.from_arrays(ends, pa.array(n[place])),
-    })
+    n = np.bincount(place, np.concatenate([_read(x, "<i8") for x in listed.column("n")]), rank.size).astype(np.int64)
+    cuts = np.append(0, np.cumsum([len(some) for some in lists])).tolist()
+    here = [place[a:b] for a, b in zip(cuts, cuts[1:])]
+    shard = listed.column("shard")[0].as_py()
+    columns = [[shard] * (len(here) + 1), [*listed.column("block").to_pylist(), None], [*(_bytes(p, "<i4") for p in here), None],
+               [*(_bytes(n[p], "<i8") for p in here), None], [*[None] * len(here), int(n.sum())], [*[None] * len(here), int((n > 0).sum())]]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _ROUTED)], schema=_ROUTED)
 
 
-def start(counts: DataFrame, vocab: Vocabulary, routes: DataFrame, states: int) -> Learned:
+def _read(value: pa.Scalar, kind: str) -> np.ndarray:
+    return np.frombuffer(value.as_py(), kind)
+
+
+def _begin(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        w = []
+        for shard, x in zip(batch.column("shard").to_pylist(), batch.column("n")):
+            n = _read(x, "<i8")[:, None]
+            w.append(_bytes(np.where(n > 0, (n + 1.0) * np.where(np.arange(states) == shard % states, 4.0, 1.0), 0.0), "<f4"))
+        yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("shard"), pa.array(w, pa.binary())], ["block", "shard", "w"])
+
+
+def start(routes: DataFrame, states: int) -> tuple[Learned, Vocabulary]:
     """A first guess: unigram emissions, each state preferring its own share of the tokens.
 
     Shards are dealt so that all tokens of a shard are of one share.
     """
-    leaning = F.crc32(F.encode("token", "UTF-8")) % states
+    lean = (F.col("shard") % states).alias("lean")
+    sums = routes.filter("block IS NULL").groupBy(lean).agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).collect()
     total = np.ones(states)
-    for r in counts.groupBy(leaning.alias("lean")).agg(F.sum(F.col("n") + 1.0).alias("w")).collect():
-        total += r["w"]
-        total[r["lean"]] += 3.0 * r["w"]
-    lean = np.array([crc32(t) % states for t in vocab.rank], np.int64)
-    weight = (vocab.count[:, None] + 1.0) * np.where(lean[:, None] == np.arange(states), 4.0, 1.0)
-    mine = [F.when(F.col("shard") % states == j, 4.0).otherwise(1.0) for j in range(states)]
-    each = F.flatten(F.transform("n", lambda n: F.array(*[F.when(n > 0, (n + 1.0) * w).otherwise(0.0) for w in mine])))
-    emissions = routes.select("block", "shard", each.cast("array<float>").alias("w"))
+    for r in sums:
+        total += r["n"] + r["v"]
+        total[r["lean"]] += 3.0 * (r["n"] + r["v"])
+    listed = routes.filter("block IS NOT NULL").select("block", "shard", "n")
+    emissions = listed.mapInArrow(partial(_begin, states=states), "block long, shard int, w binary")
     move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
-    emit = np.concatenate([weight.reshape(-1, states), np.ones((1, states))]) / total
-    return Learned(Model(np.full(states, 1.0 / states), move, emit), total, emissions)
+    vocab = Vocabulary(sum(r["n"] for r in sums), sum(r["v"] for r in sums))
+    return Learned(Model(np.full(states, 1.0 / states), move, np.ones((1, states)) / total), total, emissions), vocab
 
 
-def expected(ids: np.ndarray, length: np.ndarray, m: Model):
-    """Expected counts (first states, moves, emissions) of a block of texts: ids (places, texts), longest first."""
-    steps, n = ids.shape
-    s = m.move.shape[0]
-    emit = m.emit[ids]
+def expected(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model):
+    """Expected counts (first states, moves, emissions) of some texts in ``flat``, longest first.
+
+    The texts advance together: the t-th tokens of all that have one follow each other.
+    """
+    steps = int(length[0])
     alive = np.searchsorted(-length, -np.arange(steps), "left")  # texts longer than t
-    a = np.zeros((steps, n, s))
-    scale = np.ones((steps, n, 1))
-    for t in range(steps):
-        k = alive[t]
-        now = (m.first if t == 0 else a[t - 1, :k] @ m.move) * emit[t, :k]
-        scale[t, :k] = now.sum(axis=1, keepdims=True)
-        a[t, :k] = now / scale[t, :k]
-    b = np.ones((n, s))
-    move = np.zeros((s, s))
-    for t in range(steps - 1, -1, -1):
-        k = alive[t]
-        after = emit[t, :k] * b[:k] / scale[t, :k]
-        a[t, :k] *= b[:k]  # now the posterior of the states
+    at = np.append(0, np.cumsum(alive))
+    text = np.arange(at[-1]) - np.repeat(at[:-1], alive)
+    ids = flat[begin[text] + np.repeat(np.arange(steps), alive)]
+    emit = m.emit[ids]
+    a, b = np.empty_like(emit), np.ones_like(emit)
+    a[: at[1]] = m.first * emit[: at[1]]
+    spans = list(zip(at.tolist(), at[1:].tolist()))
+    before = [slice(0, 0), *(slice(lo, lo + k) for (lo, _), k in zip(spans, alive[1:].tolist()))]  # the same texts a step before
+    for t, (lo, hi) in enumerate(spans):
+        now = a[lo:hi]
         if t:
-            # the forward value of the step before is still untouched
-            move += m.move * (a[t - 1, :k].T @ after)
-            b[:k] = after @ m.move.T
-    hit = np.arange(steps)[:, None] < length
-    emitted = np.stack([np.bincount(ids[hit], a[:, :, j][hit], m.emit.shape[0]) for j in range(s)], axis=1)
-    return a[0].sum(axis=0), move, emitted
+            np.matmul(a[before[t]], m.move, out=now)
+            now *= emit[lo:hi]
+        if t % SCALED == 0:
+            scale = now.sum(axis=1, keepdims=True)
+            now /= scale
+            emit[lo:hi] /= scale
+    back = np.ascontiguousarray(m.move.T)
+    for t in range(steps - 1, 0, -1):
+        lo, hi = spans[t]
+        after = emit[lo:hi]
+        after *= b[lo:hi]
+        np.matmul(after, back, out=b[before[t]])
+    state = a * b  # in proportion to the posterior of the states
+    whole = state.sum(axis=1, keepdims=True)
+    state /= whole
+    emit /= whole
+    move = np.zeros_like(m.move)
+    for t in range(1, steps):
+        lo, hi = spans[t]
+        move += a[before[t]].T @ emit[lo:hi]
+    emitted = np.stack([np.bincount(ids, state[:, j], m.emit.shape[0]) for j in range(a.shape[1])], axis=1)
+    return state[: at[1]].sum(axis=0), m.move * move, emitted
 
 
 def expected_long(ids: np.ndarray, m: Model, every: int = LONG):
@@ -274,43 +282,41 @@ def expected_long(ids: np.ndarray, m: Model, every: int = LONG):
     return state[0], move, emitted
 
 
-def _numbers(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *(x.values.to_numpy(zero_copy_only=False) for x in column if x.is_valid)])
+def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column if x.is_valid), kind)
 
 
 def _local(right: pa.Table, m: Model, total: np.ndarray) -> Model:
-    """The model with the emissions of a block's own tokens behind the known ones."""
-    right = right.sort_by("shard")
-    weight = _numbers(right.column("w")).reshape(-1, total.size) / total
-    return m._replace(emit=np.concatenate([m.emit[:-1], np.where(weight > 0, weight, m.emit[-1])]))
+    """The model with the emissions of a block's tokens; ``right`` comes by shard."""
+    weight = _joined(right.column("w"), "<f4").reshape(-1, total.size) / total
+    return m._replace(emit=np.where(weight > 0, weight, m.emit[-1]))
 
 
-_SENT = "shard int, block long, sums array<float>"
+_SENT = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("sums", pa.binary())])
 
 
 def _learn(left: pa.Table, right: pa.Table, spread: int, shared) -> pa.Table:
-    """Expected counts of a block: a row per shard, and one for the known tokens and the moves."""
+    """Expected counts of a block: a row per shard, and one for the first states and the moves."""
     m, total = shared.value
-    known = m.emit.shape[0] - 1
-    rows: list[dict] = []
-    for block in left.select(["block", "ids", "ends", "training", "shards", "sizes"]).to_batches():
-        for i in range(block.num_rows):
-            number = block.column("block")[i].as_py()
-            flat, ends, training, shards, sizes = (block.column(c)[i].values.to_numpy(zero_copy_only=False) for c in block.schema.names[1:])
-            m = _local(right, m, total)
-            mine = np.flatnonzero(training)
-            begin, length = ends[:-1][mine].astype(np.int64), np.diff(ends)[mine].astype(np.int64)
-            first, move, emitted = _sum(flat, begin, length, m)
-            fixed = np.concatenate([first[None], move, emitted[:known]])
-            rows.append({"shard": -1 - number % spread, "block": number, "sums": fixed.ravel().astype(np.float32)})
-            cut = known + np.append(0, np.cumsum(sizes))
-            rows += [{"shard": s, "block": number, "sums": emitted[a:b].ravel().astype(np.float32)} for s, a, b in zip(shards.tolist(), cut, cut[1:])]
-    return pa.Table.from_pylist(rows, pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("sums", pa.list_(pa.float32()))]))
+    if not left.num_rows:
+        return _SENT.empty_table()
+    m = _local(right.sort_by("shard"), m, total)
+    block = left.column("block")[0].as_py()
+    flat = unpacked(left.column("ids")[0].as_py())
+    length, training, shards, sizes = (_read(left.column(c)[0], k) for c, k in (("lengths", "<i4"), ("training", "?"), ("shards", "<i4"), ("sizes", "<i4")))
+    length = length.astype(np.int64)
+    begin = np.cumsum(length) - length
+    first, move, emitted = _sum(flat, begin[training], length[training], m)
+    cut = np.append(0, np.cumsum(sizes))
+    # float32 holds the counts of one block closely enough; they are added up as doubles
+    sums = [np.concatenate([first[None], move]), *(emitted[a:b] for a, b in zip(cut, cut[1:]))]
+    columns = [pa.array([-1 - block % spread, *shards.tolist()], pa.int32()), pa.array([block] * len(sums)), pa.array([_bytes(x, "<f4") for x in sums], pa.binary())]
+    return pa.table(columns, schema=_SENT)
 
 
 def _sum(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model):
-    states = m.move.shape[0]
-    sums = [np.zeros(states), np.zeros((states, states)), np.zeros_like(m.emit)]
+    """Expected counts of all texts, so many at a time that their arrays stay small."""
+    sums = [np.zeros_like(m.first), np.zeros_like(m.move), np.zeros_like(m.emit)]
 
     def add(found) -> None:
         for all_of, some in zip(sums, found):
@@ -320,39 +326,42 @@ def _sum(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model):
         add(expected_long(flat[begin[i] : begin[i] + length[i]], m))
     order = np.argsort(-length, kind="stable")
     order = order[length[order] <= LONG]
+    ends = np.append(0, np.cumsum(length[order]))
     at = 0
     while at < order.size:
-        steps = int(length[order[at]])
-        some = order[at : at + max(1, _CELLS // steps)]
-        at += some.size
-        place = np.arange(steps)[:, None]
-        add(expected(np.where(place < length[some], flat[np.minimum(begin[some] + place, flat.size - 1)], 0), length[some], m))
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + _CELLS, "right")) - 1)
+        add(expected(flat, begin[order[at:to]], length[order[at:to]], m))
+        at = to
     return sums
 
 
+_GATHERED = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("w", pa.binary()), ("sums", pa.list_(pa.float64()))])
+
+
 def _gather(routes: pa.Table, counts: pa.Table, states: int) -> pa.Table:
-    """New weights of a shard's tokens for each of its blocks, and their sums; the known tokens' counts are only summed."""
-    schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("w", pa.list_(pa.float32())), ("sums", pa.list_(pa.float64()))])
+    """New weights of a shard's tokens for each of its blocks, and their sums; first states and moves are only summed."""
     shard = (routes if routes.num_rows else counts).column("shard")[0].as_py()
     if shard < 0:
-        sums = np.sum([x.values.to_numpy() for x in counts.column("sums")], axis=0, dtype=float)
-        return pa.Table.from_pylist([{"block": None, "shard": shard, "w": None, "sums": sums}], schema)
-    at = {b.as_py(): p.values.to_numpy() for b, p in zip(routes.column("block"), routes.column("place"))}
+        sums = np.sum([_read(x, "<f4") for x in counts.column("sums")], axis=0, dtype=float)
+        return pa.Table.from_pylist([{"block": None, "shard": shard, "w": None, "sums": sums}], _GATHERED)
+    at = {b.as_py(): _read(p, "<i4") for b, p in zip(routes.column("block"), routes.column("place"))}
     n = np.zeros(1 + max((int(p.max()) for p in at.values()), default=-1), np.int64)
     for b, x in zip(routes.column("block"), routes.column("n")):
-        n[at[b.as_py()]] = x.values.to_numpy()
+        n[at[b.as_py()]] = _read(x, "<i8")
     weight = np.zeros((n.size, states))
     for b, x in zip(counts.column("block"), counts.column("sums")):
-        weight[at[b.as_py()]] += x.values.to_numpy().reshape(-1, states)
+        weight[at[b.as_py()]] += _read(x, "<f4").reshape(-1, states)
     weight = np.where(n[:, None] > 0, weight + 1.0 / states, 0.0)
-    rows = [{"block": b, "shard": shard, "w": weight[p].ravel().astype(np.float32), "sums": None} for b, p in at.items()]
-    return pa.Table.from_pylist([*rows, {"block": None, "shard": shard, "w": None, "sums": weight.sum(axis=0)}], schema)
+    columns = [pa.array([*at, None], pa.int64()), pa.array([shard] * (len(at) + 1), pa.int32()),
+               pa.array([*(_bytes(weight[p], "<f4") for p in at.values()), None], pa.binary()),
+               pa.array([*[None] * len(at), weight.sum(axis=0)], pa.list_(pa.float64()))]
+    return pa.table(columns, schema=_GATHERED)
 
 
 def learn(blocks: DataFrame, routes: DataFrame, begin: Learned, passes: int = PASSES, spread: int = 1) -> Learned:
     """Baum-Welch on the training texts of the encoded blocks."""
     model, total, emissions = begin
-    states, known = model.move.shape[0], model.emit.shape[0] - 1
+    states = model.move.shape[0]
     spark = blocks.sparkSession
     old = None
     for _ in range(passes):
@@ -364,98 +373,94 @@ def learn(blocks: DataFrame, routes: DataFrame, begin: Learned, passes: int = PA
         def gathered(left: pa.Table, right: pa.Table) -> pa.Table:
             return _gather(left, right, states)
 
-        counts = blocks.groupBy("block").cogroup(emissions.groupBy("block")).applyInArrow(job, _SENT)
-        new = routes.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(gathered, "block long, shard int, w array<float>, sums array<double>")
+        counts = blocks.groupBy("block").cogroup(emissions.groupBy("block")).applyInArrow(job, "shard int, block long, sums binary")
+        new = routes.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(gathered, "block long, shard int, w binary, sums array<double>")
         found = stored(new, "emissions")
         if old is not None:
             released(old)
         old = found
         summed = found.filter("block IS NULL").select((F.col("shard") < 0).alias("fixed"), F.posexplode("sums").alias("i", "x"))
-        rows, rarer = np.zeros((1 + states + known, states)), np.zeros(states)
-        for r in summed.groupBy("fixed", "i").agg(F.sum("x").alias("x")).toLocalIterator():
-            (rows if r["fixed"] else rarer).flat[r["i"]] = r["x"]
-        rows[: 1 + states] += 1e-3
+        rows, weights = np.zeros((1 + states, states)), np.zeros(states)
+        for r in summed.groupBy("fixed", "i").agg(F.sum("x").alias("x")).collect():
+            (rows if r["fixed"] else weights).flat[r["i"]] = r["x"]
+        rows += 1e-3
         each = 1.0 / states
-        weight = rows[1 + states :] + each
-        total = weight.sum(axis=0) + rarer + each
-        first, move = rows[0] / rows[0].sum(), rows[1 : 1 + states]
-        model = Model(first, move / move.sum(axis=1, keepdims=True), np.concatenate([weight, np.full((1, states), each)]) / total)
+        total = weights + each
+        model = Model(rows[0] / rows[0].sum(), rows[1:] / rows[1:].sum(axis=1, keepdims=True), np.full((1, states), each) / total)
         emissions = found.filter("block IS NOT NULL").select("block", "shard", "w")
     return Learned(model, total, emissions)
 
 
 def forward(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model) -> np.ndarray:
-    """log10 likelihood of each sequence of classes, exact; all sequences advance together."""
+    """log10 likelihood of each sequence of tokens, exact; all sequences advance together."""
     order = np.argsort(-length, kind="stable")
     begin, size = begin[order], length[order]
     logs = np.zeros(size.size)
     a = np.empty((size.size, m.move.shape[0]))
-    ends = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), "left")
-    for t, k in enumerate(ends):
+    ends = np.searchsorted(-size, -np.arange(int(size.max(initial=0)) + 1), "left").tolist()
+    for t, k in enumerate(ends[:-1]):
         now = (m.first if t == 0 else a[:k] @ m.move) * m.emit[ids[begin[:k] + t]]
-        total = now.sum(axis=1)
-        logs[:k] += np.log10(total)
-        np.divide(now, total[:, None], out=a[:k])
+        if t % SCALED == 0:
+            total = now.sum(axis=1)
+            logs[:k] += np.log10(total)
+            now /= total[:, None]
+        a[:k] = now
+        if ends[t + 1] < k:
+            logs[ends[t + 1] : k] += np.log10(a[ends[t + 1] : k].sum(axis=1))
     out = np.empty(size.size)
     out[order] = logs
     return out
 
 
-def _score(left: pa.Table, right: pa.Table, names: list[str], shared) -> pa.Table:
+def _score(left: pa.Table, right: pa.Table, kept: list[str], names: list[str], shared) -> pa.Table:
     m, total, vocab = shared.value
     right = right.sort_by("shard")
-    m = _local(right.filter(right.column("w").is_valid()), m, total)
-    n = _numbers(right.column("n"))
-    out = []
-    for block in left.select(["ids", "ends", "rows"]).to_batches():
-        for i in range(block.num_rows):
-            flat, ends = (block.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("ids", "ends"))
-            begin, length = ends[:-1].astype(np.int64), np.diff(ends).astype(np.int64)
-            count = np.concatenate([vocab.count, n])[flat]
-            known, base = np.add.reduceat((count > 0).astype(np.int64), begin), np.add.reduceat(vocab.base(count), begin)
-            kept = block.column("rows")[i].values
-            columns = [kept.field(f) for f in range(kept.type.num_fields)]
-            found = [length, known, base, forward(flat, begin, length, m)]
-            out.append(pa.table([*columns, *(pa.array(x) for x in found)], names=[*(f.name for f in kept.type), *names]))
-    return pa.concat_tables(out)
+    m = _local(right, m, total)
+    flat, length = unpacked(left.column("ids")[0].as_py()), _read(left.column("lengths")[0], "<i4").astype(np.int64)
+    begin = np.cumsum(length) - length
+    count = _joined(right.column("n"), "<i8")[flat]
+    known, base = np.add.reduceat((count > 0).astype(np.int64), begin), np.add.reduceat(vocab.base(count), begin)
+    rows = left.column("rows")[0].values
+    found = [length, known, base, forward(flat, begin, length, m)]
+    return pa.table([*(rows.field(c) for c in kept), *(pa.array(x) for x in found)], names=[*kept, *names])
 
 
 def score(
-    docs: DataFrame, training: Column, text: str = "text", states: int = STATES, known: int = KNOWN, passes: int = PASSES,
+    docs: DataFrame, training: Column, text: str = "text", states: int = STATES, passes: int = PASSES,
 ) -> tuple[DataFrame, list[str], Vocabulary, Model]:
     """``docs`` without the text, with tokens, tokens seen in training, unigram score and the model's score.
 
     ``training`` says which rows to learn from. Returns the names of the four columns and what was learned.
     """
     context = docs.sparkSession.sparkContext
-    corpus = docs.filter(training).select(F.col(text).alias("text"))
-    counts = stored(corpus.mapInArrow(_count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
-    vocab = vocabulary(counts, known)
-    many = ceil(vocab.tokens / BLOCK) + 1
-    shards, buckets, spread = states * many, min(20_000, 2 * many + 6), max(1, many // 256)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    many = ceil(size / (BYTES * BLOCK)) + 1
+    shards, buckets, spread = states * ceil(many / states), min(20_000, many // 2 + 6), max(1, many // 256)
     flag, = apart(docs, "in_training")
     kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields if f.name != text])
     schema = T.StructType([*T.StructType.fromDDL(_BLOCK).fields, T.StructField("rows", T.ArrayType(kept)), *T.StructType.fromDDL(_LISTED).fields])
-    job = partial(_encode, text=text, flag=flag, shards=shards, vocab=context.broadcast(vocab))
+    job = partial(_encode, text=text, flag=flag, shards=shards)
     flagged = docs.withColumn(flag, F.coalesce(training, F.lit(False)))
     encoded = bucketed(flagged.mapInArrow(job, schema), "encoded", "block", buckets)
     blocks = encoded.filter("ids IS NOT NULL")
     listed = encoded.filter("tokens IS NOT NULL").select("shard", "block", "tokens", "n")
-    routed = listed.groupBy("shard").applyInArrow(_route, "shard int, block long, place array<int>, n array<long>")
+    routed = listed.groupBy("shard").applyInArrow(_route, "shard int, block long, place binary, n binary, tokens long, types long")
     routes = bucketed(routed, "routes", "shard", buckets)
-    texts = blocks.select("block", "ids", "ends", "training", "shards", "sizes")
-    learned = learn(texts, routes, start(counts, vocab, routes, states), passes, spread)
+    texts = blocks.select("block", "ids", "lengths", "training", "shards", "sizes")
+    begin, vocab = start(routes, states)
+    placed = routes.filter("block IS NOT NULL").select("shard", "block", "place", "n")
+    learned = learn(texts, placed, begin, passes, spread)
     names = apart(docs, "n_tokens", "n_known", "base_score", "score")
     shared = context.broadcast((learned.model, learned.total, vocab))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score(left, right, names, shared)
+        return _score(left, right, kept.names, names, shared)
 
     none = F.lit(None)
-    packed = learned.emissions.select("block", "shard", "w", none.cast("array<bigint>").alias("n")).unionByName(
-        routes.select("block", "shard", none.cast("array<float>").alias("w"), "n")
+    packed = learned.emissions.select("block", "shard", "w", none.cast("binary").alias("n")).unionByName(
+        placed.select("block", "shard", none.cast("binary").alias("w"), "n")
     )
     kinds = [T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
     out = T.StructType([*kept.fields, *(T.StructField(n, k) for n, k in zip(names, kinds))])
-    found = blocks.select("block", "ids", "ends", "rows").groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(judge, out)
+    found = blocks.select("block", "ids", "lengths", "rows").groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(judge, out)
     return found, names, vocab, learned.model

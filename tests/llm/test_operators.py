@@ -263,15 +263,20 @@ def test_scores_equal_brute_force(spark, docs):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_rare_tokens_have_states_too(spark):
+def test_blocks_and_shards_do_not_matter(spark, monkeypatch):
     rows = [(i, " ".join(f"a{(i * 7 + j) % 40} b{(i * 5 + j) % 40}" for j in range(100))) for i in range(12)] + [(12, "a1 b2 never"), (13, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    (all_rare, names, *_), (none_rare, *_) = (hmm.score(docs, docs.doc_id < 10, known=k) for k in (0, 1 << 14))
-    a, b = ({r["doc_id"]: r for r in x.collect()} for x in (all_rare, none_rare))
-    assert a.keys() == b.keys() == set(range(14))
-    for i in a:
-        assert list(a[i][n] for n in names) == pytest.approx([b[i][n] for n in names])
-    assert a[10][names[3]] > a[10][names[2]] + 20
+    found = []
+    for block, long in ((1 << 20, 1 << 16), (700, 64)):
+        monkeypatch.setattr(hmm, "BLOCK", block)
+        monkeypatch.setattr(hmm, "LONG", long)
+        out, names, *_ = hmm.score(docs, docs.doc_id < 10)
+        found.append({r["doc_id"]: [r[n] for n in names] for r in out.collect()})
+    a = found[0]
+    assert a.keys() == set(range(14)) and a[10][3] > a[10][2] + 20
+    for b in found[1:]:
+        for i in a:
+            assert a[i] == pytest.approx(b[i], rel=1e-4)
 
 
 def test_forward_sums_all_paths():
@@ -307,8 +312,7 @@ def test_expected_counts_sum_all_paths():
     m = hmm.Model(np.array([0.5, 0.2, 0.3]), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(4), 3).T)
     texts = [[0, 1, 3, 2, 1, 0, 0], [2, 2, 1], [3]]
     want = [sum(x) for x in zip(*(every_path(t, m) for t in texts))]
-    ids = np.array([[t[k] if k < len(t) else 0 for t in texts] for k in range(7)])
-    for got, w in zip(hmm.expected(ids, np.array([7, 3, 1]), m), want):
+    for got, w in zip(hmm.expected(np.concatenate(texts), np.array([0, 7, 10]), np.array([7, 3, 1]), m), want):
         assert got == pytest.approx(w)
     for every in (1, 2, 3, 7, 100):
         for t in texts:
@@ -316,12 +320,17 @@ def test_expected_counts_sum_all_paths():
                 assert got == pytest.approx(w)
 
 
+def test_packed_numbers():
+    ids = np.array([0, 5, 65534, 65535, 65536, 1 << 30, 7])
+    assert hmm.unpacked(hmm.packed(ids)).tolist() == ids.tolist() and hmm.unpacked(hmm.packed(ids[:0])).size == 0
+
+
 def test_training_likelihood_does_not_fall(spark, monkeypatch):
     monkeypatch.setattr(hmm, "BLOCK", 3000)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60).repartition(3)
     scores = []
     for passes in (0, 1, 3):
-        found, names, *_ = hmm.score(docs, docs.doc_id.isNotNull(), known=50, passes=passes)
+        found, names, *_ = hmm.score(docs, docs.doc_id.isNotNull(), passes=passes)
         scores.append(sum(r[names[3]] for r in found.collect()))
     assert scores[0] < scores[1] < scores[2]
 
