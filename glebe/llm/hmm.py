@@ -50,10 +50,6 @@ END = b"\n"  # no word holds white space
 _CELLS = 500_000
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
-
-
 class Vocabulary(NamedTuple):
     tokens: int  # all training tokens
     types: int
@@ -138,7 +134,8 @@ def _encode(batches: Iterator[pa.RecordBatch], text: str, flag: str, shards: int
     for batch in batches:
         for part in wd.blocks(batch, text, 2 << 20):
             for x in part.column(text).cast(pa.large_binary()):
-                said = tokens(x.as_py() or b"")
+                said = (x.as_py() or b"").lower().split()
+                said.append(END)
                 ids.append(np.fromiter(map(number.__getitem__, said), np.int32, len(said)))
                 held += len(said)
             rows.append(part.drop_columns([text]))
@@ -231,22 +228,20 @@ def expected(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Model):
             scale = now.sum(axis=1, keepdims=True)
             now /= scale
             emit[lo:hi] /= scale
-    back = np.ascontiguousarray(m.move.T)
+    # with this last value, forward times backward is the posterior of the states at every step
+    last = at[length - 1] + np.arange(length.size)
+    b[last] = 1.0 / a[last].sum(axis=1, keepdims=True)
+    back, move = np.ascontiguousarray(m.move.T), np.zeros_like(m.move)
     for t in range(steps - 1, 0, -1):
         lo, hi = spans[t]
         after = emit[lo:hi]
         after *= b[lo:hi]
+        move += a[before[t]].T @ after
+        # texts that end here keep their last value
         np.matmul(after, back, out=b[before[t]])
-    state = a * b  # in proportion to the posterior of the states
-    whole = state.sum(axis=1, keepdims=True)
-    state /= whole
-    emit /= whole
-    move = np.zeros_like(m.move)
-    for t in range(1, steps):
-        lo, hi = spans[t]
-        move += a[before[t]].T @ emit[lo:hi]
-    emitted = np.stack([np.bincount(ids, state[:, j], m.emit.shape[0]) for j in range(a.shape[1])], axis=1)
-    return state[: at[1]].sum(axis=0), m.move * move, emitted
+    a *= b
+    emitted = np.stack([np.bincount(ids, a[:, j], m.emit.shape[0]) for j in range(a.shape[1])], axis=1)
+    return a[: at[1]].sum(axis=0), m.move * move, emitted
 
 
 def expected_long(ids: np.ndarray, m: Model, every: int = LONG):

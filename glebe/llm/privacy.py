@@ -5,13 +5,15 @@ The patterns say what the documented ones say, but start only where a run starts
 ended) and repeat single characters rather than groups, so that long runs cost linear time and no stack.
 
 Around them runs an information-theoretic sanitiser. A found value is a protected entity; all terms of
-the documents that hold it are its context: every word outside the spans, but for those with digits.
-Over the whole corpus, with document counts N (all), n(e), n(t) and n(e,t), the normalised pointwise
+the texts that hold it are its context: every word outside the spans, but for those with digits.
+Over the whole corpus, with counts of different texts N (all), n(e), n(t) and n(e,t), the normalised pointwise
 mutual information ``log(N n(e,t) / (n(e) n(t))) / -log(n(e,t) / N)`` says how strongly term t reveals
-entity e: 1 if neither occurs without the other. One more document is spread evenly over the four cells
-of (with e or without, with t or without), so that few documents count for less but none are left out.
-A term at or above ``disclosure`` is a span of kind ``term`` in every document that holds the entity, and
-is generalised with it. Documents without an entity are left alone.
+entity e: 1 if neither occurs without the other. In the numerator stands the lower confidence bound
+``n(e,t) - DOUBT sqrt(n(e,t))`` of a count: one or two joint texts prove nothing, as every rare word of a text is alone
+with its entities, so words that merely are rare stay. Copies of a text count once. A term at or above ``disclosure`` is
+a span of kind ``term`` in every document that holds the entity, and is generalised with it. Documents without an entity
+are left alone. Entities in too few texts for any term, and terms too frequent for any entity, are left out before
+entities meet terms; both bounds are exact.
 
 Null and empty texts have no spans. Repeated rows get equal results. An empty table gives an empty
 result. Other columns are kept; helper columns avoid their names.
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 
 from glebe.llm.tables import apart, stored
 
-DISCLOSURE = 0.9
-SPREAD = 1.0  # documents that smoothing adds to the counts of a pair
+DISCLOSURE = 0.75
+DOUBT = 1.5  # standard deviations between a count and its lower bound
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = r"A-Za-z0-9._%+-"
@@ -119,23 +121,35 @@ def _terms(text: Column, spans: Column) -> Column:
     return _words(F.regexp_replace(plain, r"[^\s0-9]*+[0-9][^\s]*+", " "))
 
 
-def strength(n_both: Column, n_entity: Column, n_term: Column, total: Column, spread: float = SPREAD) -> Column:
-    """Normalised pointwise mutual information of the smoothed counts."""
-    share = (n_both + spread / 4) / (total + spread)
-    alone = (n_entity + spread / 2) * (n_term + spread / 2) / ((total + spread) * (total + spread))
-    return F.log(share / alone) / -F.log(share)
-
-
-def disclosing(scanned: DataFrame, text: str, spans: str, disclosure: float = DISCLOSURE, spread: float = SPREAD) -> DataFrame:
-    """(entity, term): the terms that reveal an entity, from counts over all documents."""
-    holding = scanned.filter(F.size(spans) > 0)
-    context = stored(holding.select(_entities(F.col(spans)).alias("entities"), _terms(F.col(text), F.col(spans)).alias("terms")), "contexts")
-    listed = context.select(F.explode("entities").alias("entity"), "terms")
-    together = listed.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    entities = listed.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = scanned.select(F.explode(_words(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+def strength(n_both: Column, n_entity: Column, n_term: Column, total: Column, doubt: float = DOUBT) -> Column:
+    """Normalised pointwise mutual information with the lower bound of the joint count; null where that is not positive."""
+    least = n_both - doubt * F.sqrt(n_both)
+    whole = F.when(n_both >= total, F.lit(1.0)).otherwise(-F.log(n_both / total))
+    return F.when(least > 0, F.log(least * total / (n_entity * n_term)) / whole)
+
+
+def disclosing(scanned: DataFrame, text: str, spans: str, disclosure: float = DISCLOSURE, doubt: float = DOUBT) -> DataFrame:
+    """(entity, term): the terms that reveal an entity, from counts over all different texts."""
+    different = scanned.select(F.xxhash64(text).alias("one"), F.xxhash64(text, F.lit(1)).alias("two"), F.col(text).alias("text"), F.col(spans).alias("spans"))
+    held = different.filter(F.size("spans") > 0).select("one", "two", F.explode(_entities(F.col("spans"))).alias("entity")).distinct()
+    entities = stored(held.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") > doubt * doubt), "entities")
+    held = stored(held.join(entities.select("entity"), "entity", "left_semi"), "held")
+    total = float(different.agg(F.count_distinct("one", "two")).first()[0])
+    largest = entities.agg(F.max("n_entity")).first()[0] or 1
+    # a term in more texts than the largest entity shares at most all of that entity's texts
+    most = max(largest, total * (largest / total) ** disclosure * (1 + 1e-9)) if total else 0
+    terms = (
+        different.groupBy("one", "two").agg(F.first("text").alias("text"))
+        .select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    )
+    terms = terms.filter((F.col("n_term") > doubt * doubt) & (F.col("n_term") <= most))
+    context = different.join(held.select("one", "two").distinct(), ["one", "two"], "left_semi").groupBy("one", "two").agg(
+        F.first("text").alias("text"), F.first("spans").alias("spans")
+    )
+    said = context.select("one", "two", F.explode(_terms(F.col("text"), F.col("spans"))).alias("term"))
+    together = held.join(said, ["one", "two"]).groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") > doubt * doubt)
     joined = together.join(entities, "entity").join(terms, "term")
-    found = strength(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(float(scanned.count())), spread)
+    found = strength(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(total), doubt)
     return joined.filter(found >= disclosure).select("entity", "term")
 
 
@@ -149,12 +163,12 @@ def _among(value: Column, listed: Column) -> Column:
 
 
 def scan(
-    docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, spread: float = SPREAD
+    docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, doubt: float = DOUBT
 ) -> tuple[DataFrame, tuple[str, str]]:
     """``docs`` with base spans and term spans; returns the names of the two columns."""
     base, terms, key, listed = apart(docs, "base_spans", "term_spans", "scan_key", "scan_terms")
     scanned = stored(docs.withColumn(base, base_spans(F.coalesce(F.col(text), F.lit("")))), "scanned")
-    pairs = stored(disclosing(scanned, text, base, disclosure, spread), "disclosing")
+    pairs = stored(disclosing(scanned, text, base, disclosure, doubt), "disclosing")
     holding = scanned.filter(F.size(base) > 0).withColumn(key, F.xxhash64(text))
     by_text = (
         holding.select(key, F.explode(_entities(F.col(base))).alias("entity")).distinct().join(pairs, "entity")

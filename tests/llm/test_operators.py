@@ -147,20 +147,49 @@ def test_base_spans_equal_patterns(spark, docs):
 
 
 def test_terms_that_reveal_an_entity(spark):
-    rows = [(i, f"call zorblax now{i} at x@y.zz thanks") for i in range(6)] + [(i, f"plain words number {i} thanks call at") for i in range(6, 40)]
+    rows = [(i, f"call zorblax now{i} at x@y.zz thanks {'please ' * i}") for i in range(6)] + [(i, f"plain words number {i} thanks call at please") for i in range(6, 400)]
     found, (_, terms) = privacy.scan(spark.createDataFrame(rows, "doc_id long, text string"))
     seen = {r["doc_id"]: [s["value"] for s in r[terms]] for r in found.collect()}
-    assert seen[0] == ["zorblax"] and all(not seen[i] for i in range(6, 40))
+    assert all(seen[i] == ["zorblax"] for i in range(6)) and all(not seen[i] for i in range(6, 400))
     cleaned = privacy.sanitize(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id = 0").first()["text"]
-    assert cleaned == "call <TERM> now0 at <EMAIL> thanks"
+    assert cleaned == "call <TERM> now0 at <EMAIL> thanks "
 
 
-def test_terms_of_rare_entities(spark):
-    rows = [(0, "Dr Zorblax Qi wrote this\nplain words\n\nmail: x@y.zz"), (1, "Umbrek asked\nbob@y.zz words"), (2, "call\nbob@y.zz again Umbrek")]
-    rows += [(i, "dr call plain words asked again wrote this mail") for i in range(3, 200)]
+def test_rare_words_beside_an_entity_stay(spark):
+    lone = "quaint umbrellas fold sideways mail x@y.zz beneath marble"
+    rows = [(0, lone), (1, lone), (2, lone), (3, lone), (4, "odd bob@y.zz lanterns"), (5, "bob@y.zz lanterns glow")]
+    rows += [(i, f"plain words {i}") for i in range(6, 300)]
     found, (_, terms) = privacy.scan(spark.createDataFrame(rows, "doc_id long, text string"))
-    seen = {r["doc_id"]: [s["value"] for s in r[terms]] for r in found.collect()}
-    assert (seen[0], seen[1], seen[2]) == (["Zorblax", "Qi"], ["Umbrek"], ["Umbrek"]) and not any(seen[i] for i in range(3, 200))
+    assert not any(r[terms] for r in found.collect())
+
+
+def test_disclosing_terms_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    names = [f"name{c}" for c in "abcdefgh"]
+    texts = [f"{' '.join(rng.choice(['red', 'green', 'blue', 'grey', 'pink']) for _ in range(rng.randrange(9)))} number{'x' * (i % 50)}" for i in range(500)]
+    for k, name in enumerate(names):
+        for i in rng.sample(range(500), 3 * k + 1):
+            texts[i] += f" {name if rng.random() < 0.9 else ''} {name}@mail.org"
+    texts += texts[:40]
+    plain = set(texts)
+    held = {}
+    for t in plain:
+        for e in re.findall(r"\S+@\S+", t):
+            held.setdefault("0:" + e, set()).add(t)
+    words = {t: set(re.findall("[a-z]+", re.sub(r"\S+@\S+", " ", t))) for t in plain}
+    count = Counter(w for t in plain for w in set(re.findall("[a-z]+", t)))
+    want = set()
+    for e, inside in held.items():
+        for w in set().union(*(words[t] for t in inside)):
+            both = sum(w in words[t] for t in inside)
+            least = both - 1.5 * both**0.5
+            if least > 0 and np.log(least * len(plain) / (len(inside) * count[w])) / -np.log(both / len(plain)) >= 0.75:
+                want.add((e, w))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = privacy.disclosing(docs.withColumn("spans", privacy.base_spans(docs.text)), "text", "spans")
+    assert {(r["entity"], r["term"]) for r in got.collect()} == want and len(want) >= 5
 
 
 def test_language_is_learned(spark):
