@@ -245,6 +245,38 @@ def test_main_text_is_whole():
         assert html.main_text(page).split("\n\n") == want
 
 
+def test_main_text_of_wrapped_pages():
+    said = "Many words without any tag in them. " * 12
+    body = f"<h1>Title</h1><p>{said}</p><p>Short one.</p><p>{said}</p>"
+    want = ["Title", said.strip(), "Short one.", said.strip()]
+    reader = f"<p>{said}</p>" * 6
+    for page in (
+        f"<body><nav>Menu</nav><form action=x>{body}<input name=y></form></body>",
+        f"<body><div class='widget'>{body}</div></body>",
+        f"<body><div id=header>Top</div><dialog open>{body}</dialog></body>",
+        f"<body><form><div class='comments'>{reader}</div>{body}</form></body>",
+        f"<body><article>{body}</article><div class='user-comments'>{reader}</div></body>",
+        f"<body><div>{body}</div><div class='comments'>{reader}</div></body>",
+        f"<body><div>{body}</div><form><p>Your name and your address, please.</p><button>Send now</button></form></body>",
+    ):
+        assert html.main_text(page).split("\n\n") == want, page[:60]
+    two = f"<body><main><article><h2>A</h2><p>{said}</p></article><article><h2>B</h2><p>{said}</p></article></main></body>"
+    assert html.main_text(two).split("\n\n") == ["A", said.strip(), "B", said.strip()]
+    assert html.main_text(f"<body><div class=comments><p>{said}</p></div></body>") == said.strip()
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 100_000):
+        for tag in ("font", "div", "ul><li"):
+            began = time.process_time()
+            assert html.main_text(f"<{tag}>word and more " * n).startswith("word and more")
+            took.append(time.process_time() - began)
+    assert max(took[3:]) < 12 * max(took[:3]) and max(took) < 30
+
+
 def test_licences(spark, odd):
     model = licences.train(odd)
     rows = [(1, "text\nReleased under the MIT License.\nAll rights reserved."), (2, "All rights are fine"), (3, None)]
