@@ -216,6 +216,89 @@ def resume_build(spark, sf_dir):
     return rounded(plan.build_indicator(cells, data, SHARE, existing=done), value_num=9)
 
 
+JOB_HEAD = "name;work_variable;work_grid;num_mode;str_mode;condition_variable;exploits_grid;go"
+JOBS = """share;parcels;squares;prop_surf;value_str_mode_inter;value_num >= 20;shifted;1
+count;parcels;squares;ct_elt;;;;1
+highest;events;squares;val_max;;;;1
+resumed;parcels;squares;val_sum;;value_num < 50;;2
+idle;parcels;squares;val_sum;;;;0
+broken;parcels;nowhere;val_sum;;;;1
+odd;parcels;squares;no_mode;;;;1
+unread;parcels;squares;val_sum;;no_column = 1;;1
+"""
+
+
+def _shifted(spark, sf_dir):
+    """Half the cells, a kilometre to the east, as another grid."""
+    from glebe.functions import geometry as g
+
+    c = F.col("geom")
+    return fx.cells(spark, sf_dir).filter("id_cell % 2 = 0").select(
+        (F.col("id_cell") + 1_000_000).alias("id_cell"), "cell_code", F.lit(2).alias("id_grid"),
+        g.rectangle(c.xmin + 1000, c.ymin, c.xmax + 1000, c.ymax).alias("geom"),
+    )
+
+
+def job_run(spark, sf_dir):
+    """Results, indicators, report and pivots of the job file, after an earlier run that left 1997 incomplete."""
+    from glebe.plans import jobs
+
+    cells = fx.cells(spark, sf_dir).unionByName(_shifted(spark, sf_dir))
+    variables = spark.createDataFrame([(1, "parcels"), (3, "events")], "id_variable long, name string")
+    names = spark.createDataFrame([(1, "squares"), (2, "shifted")], "id_grid int, name string")
+    known = spark.createDataFrame([(5, "older")], "id_indicator long, name string")
+    path, log, pivots, config = (scratch_path(spark, n) for n in ("results", "log", "pivots", "config"))
+    where = dict(results_path=path, log_path=log, exploits_path=pivots, user="tester", cell_size=200.0)
+    line = next(x for x in JOBS.splitlines() if x.startswith("resumed")).replace(";2", ";1")
+
+    def run(lines: str, ids):
+        folder = f"{config}/{lines[:5]}"
+        text = [JOB_HEAD, *lines.splitlines()]
+        spark.createDataFrame([(i, x) for i, x in enumerate(text)], "i int, value string").coalesce(1).sortWithinPartitions("i").select("value").write.text(folder)
+        return jobs.run_job_file(spark, folder, cells, _datasets(spark, sf_dir), variables, names, ids, **where)
+
+    known, _ = run(line, known)
+    stored = spark.read.parquet(path).withColumn("value_num", F.lit(-1.0))
+    gaps = stored.filter((F.year("date_result") != 1997) | (F.col("id_cell") % 5 != 0))
+    plan.publish(gaps.select("date_result", "id_indicator", "id_cell", "value_str", "value_num"), path, log, "tester")
+    known, report = run(JOBS, known)
+    return spark.read.parquet(path), known, report, pivots
+
+
+@register(
+    "R8_run_jobs",
+    f"""WITH {BUILD}, pts AS (SELECT * FROM (WITH {IN_CELL} SELECT {PAIRS}, max(value_num) AS value_num FROM pc GROUP BY {PAIRS})),
+gap AS (SELECT DISTINCT date_result FROM stats WHERE value_num<50 AND year(date_result)=1997 AND id_cell%5=0)
+SELECT 'share' AS name, CAST(date_result AS DATE) AS date_result, id_cell, value_str, value_num FROM built
+UNION ALL SELECT 'count', CAST(date_result AS DATE), id_cell, NULL, CAST(count(*) AS DOUBLE) FROM stats GROUP BY ALL
+UNION ALL SELECT 'highest', CAST(date_result AS DATE), id_cell, NULL, round(CAST(value_num AS DOUBLE),9) FROM pts
+UNION ALL SELECT 'resumed', CAST(date_result AS DATE), id_cell, NULL,
+  CASE WHEN date_result IN (SELECT date_result FROM gap) THEN CAST(sum(value_num) AS DOUBLE) ELSE -1 END FROM stats WHERE value_num<50 GROUP BY date_result, id_cell""",
+)
+def run_jobs(spark, sf_dir):
+    found, known, _, _ = job_run(spark, sf_dir)
+    return rounded(
+        found.join(F.broadcast(known), "id_indicator").select(
+            "name", F.col("date_result").cast("date"), F.col("id_cell").cast("bigint"), "value_str", "value_num"
+        ), value_num=9,
+    )
+
+
+@register(
+    "R8_exploits_grid",
+    f"""WITH {BUILD} SELECT cell_code, CAST(cx0+1000 AS DOUBLE) AS x, CAST(date_result AS DATE) AS date_result, value_num
+FROM built JOIN cells USING (id_cell) WHERE id_cell%2=0""",
+)
+def run_jobs_exploited(spark, sf_dir):
+    _, known, _, pivots = job_run(spark, sf_dir)
+    number = known.filter("name = 'share'").first()["id_indicator"]
+    wide = spark.read.parquet(f"{pivots}/num_{number}_2")
+    dates = [c for c in wide.columns if c.startswith("value_")]
+    rows = F.array(*[F.struct(F.to_date(F.lit(c[6:]), "yyyyMMdd").alias("date_result"), F.col(c).alias("value_num")) for c in dates])
+    long = wide.select("cell_code", F.col("geom.xmin").alias("x"), F.inline(rows)).filter("value_num IS NOT NULL")
+    return rounded(long, value_num=9)
+
+
 @register(
     "S16_S17_partition_replace",
     f"""WITH {BUILD} SELECT id_cell, date_result, CASE WHEN year(date_result)=1998 THEN -1 ELSE value_num END AS value_num FROM built""",

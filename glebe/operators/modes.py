@@ -22,8 +22,22 @@ def _rounded_text(v: Column) -> Column:
     return F.coalesce(F.round(v.cast("double"), 4).cast("string"), F.lit(""))
 
 
-def _plus_stats() -> Column:
-    v = F.col("value_num")
+class Rows:
+    """The rows an aggregate reads: all, or those for which ``only`` holds."""
+
+    def __init__(self, only: Column | None = None):
+        self.only = only
+
+    def of(self, value: Column) -> Column:
+        """``value`` on these rows, NULL, which aggregates pass over, on others."""
+        return value if self.only is None else F.when(self.only, value)
+
+    def __call__(self, name: str) -> Column:
+        return self.of(F.col(name))
+
+
+def _plus_stats(rows: Rows) -> Column:
+    v = rows("value_num")
     return F.to_json(
         F.struct(
             _rounded_text(F.avg(v)).alias("avg_value"),
@@ -49,53 +63,51 @@ def _array_text(items: Column, has_null: Column) -> Column:
     return F.concat(F.lit("{"), inner, F.coalesce(tail, F.lit("")), F.lit("}"))
 
 
-def _distinct_list(v: Column, text: Callable[[Column], Column]) -> Column:
+def _distinct_list(rows: Rows, v: Column, text: Callable[[Column], Column]) -> Column:
     """Sorted distinct values as text; a NULL among them comes last."""
-    items = F.transform(F.array_sort(F.collect_set(v)), text)
-    return _array_text(items, F.max(v.isNull()))
+    items = F.transform(F.array_sort(F.collect_set(rows.of(v))), text)
+    return _array_text(items, F.max(rows.of(v.isNull())))
 
 
-def _json_list(fields: Sequence[str]) -> Column:
+def _json_list(rows: Rows, fields: Sequence[str]) -> Column:
     def as_text(name: str) -> Column:
         c = F.col(name)
         return F.coalesce(c if name == "value_str" else plain(c), F.lit("")).alias(name)
 
     item = F.to_json(F.struct(*[as_text(f) for f in fields]))
-    return _array_text(F.transform(F.array_sort(F.collect_set(item)), quoted), F.lit(False))
+    return _array_text(F.transform(F.array_sort(F.collect_set(rows.of(item))), quoted), F.lit(False))
 
 
-def _largest_share() -> Column:
+def _largest_share(rows: Rows) -> Column:
     """Text of the piece with the largest share of the cell; equal shares give the first text."""
-    return F.min_by("value_str", F.struct(-F.col("cell_prop"), F.col("value_str")))
+    return F.min_by("value_str", rows.of(F.struct(-F.col("cell_prop"), F.col("value_str"))))
 
 
 _V = "value_num"
 
-MODES: dict[str, Callable[[], Column]] = {
-    "intersect": lambda: F.sum("inter"),
-    "intersect/1000": lambda: F.sum("inter") / 1000,
-    "prop_surf": lambda: F.sum("cell_prop"),
-    "prop_len": lambda: F.sum("cell_prop"),
-    "md_prop": lambda: F.sum(F.col(_V) * F.col("cell_prop")),
-    "md_prop_norm": lambda: F.try_divide(
-        F.sum(F.col(_V) * F.col("cell_prop")), F.sum("cell_prop")
-    ),
-    "tot_dens": lambda: F.sum("cellvalue_density"),
-    "val_sum": lambda: F.sum(_V),
-    "val_min": lambda: F.min(_V),
-    "val_max": lambda: F.max(_V),
-    "val_avg": lambda: F.avg(_V),
-    "val_stddev": lambda: F.stddev_samp(_V),
-    "val_median": lambda: F.median(_V),
+MODES: dict[str, Callable[[Rows], Column]] = {
+    "intersect": lambda r: F.sum(r("inter")),
+    "intersect/1000": lambda r: F.sum(r("inter")) / 1000,
+    "prop_surf": lambda r: F.sum(r("cell_prop")),
+    "prop_len": lambda r: F.sum(r("cell_prop")),
+    "md_prop": lambda r: F.sum(r(_V) * r("cell_prop")),
+    "md_prop_norm": lambda r: F.try_divide(F.sum(r(_V) * r("cell_prop")), F.sum(r("cell_prop"))),
+    "tot_dens": lambda r: F.sum(r("cellvalue_density")),
+    "val_sum": lambda r: F.sum(r(_V)),
+    "val_min": lambda r: F.min(r(_V)),
+    "val_max": lambda r: F.max(r(_V)),
+    "val_avg": lambda r: F.avg(r(_V)),
+    "val_stddev": lambda r: F.stddev_samp(r(_V)),
+    "val_median": lambda r: F.median(r(_V)),
     "plus_stats": _plus_stats,
     "value_str_mode_inter": _largest_share,
-    "ct_elt": lambda: F.count("*"),
-    "ct_elt_num": lambda: F.count_distinct(F.col(_V)),
-    "ct_elt_str": lambda: F.count_distinct(F.col("value_str")),
-    "value_full": lambda: _json_list(["value_num", "value_str", "cell_prop", "cellvalue_density"]),
-    "value_str_full": lambda: _json_list(["value_str", "cell_prop"]),
-    "value_num_agg": lambda: _distinct_list(F.col(_V), plain),
-    "value_str_agg": lambda: _distinct_list(F.col("value_str"), quoted),
+    "ct_elt": lambda r: F.count(r.of(F.lit(1))),
+    "ct_elt_num": lambda r: F.count_distinct(r(_V)),
+    "ct_elt_str": lambda r: F.count_distinct(r("value_str")),
+    "value_full": lambda r: _json_list(r, ["value_num", "value_str", "cell_prop", "cellvalue_density"]),
+    "value_str_full": lambda r: _json_list(r, ["value_str", "cell_prop"]),
+    "value_num_agg": lambda r: _distinct_list(r, F.col(_V), plain),
+    "value_str_agg": lambda r: _distinct_list(r, F.col("value_str"), quoted),
 }
 
 # modes that read a share of the cell or of the feature; points have neither
@@ -113,13 +125,13 @@ SHARE_MODES = {
 }
 
 
-def mode_column(mode: str | None, dtype: str) -> Column:
-    """Aggregate expression of a mode; an empty mode is a NULL column."""
+def mode_column(mode: str | None, dtype: str, only: Column | None = None) -> Column:
+    """Aggregate expression of a mode, over the rows for which ``only`` holds; an empty mode is a NULL column."""
     if not mode:
         return F.lit(None).cast(dtype)
     if mode not in MODES:
         raise ValueError(f"unknown aggregation mode: {mode!r}")
-    return MODES[mode]().cast(dtype)
+    return MODES[mode](Rows(only)).cast(dtype)
 
 
 def areal_aggregate(

@@ -119,12 +119,12 @@ def point_stats(
     wrong = {x for x in (num_mode, str_mode) if x in modes.SHARE_MODES}
     if wrong:
         raise ValueError(f"modes without a meaning for points: {sorted(wrong)}")
-    return _per_cell(
+    return per_cell(
         cells, data, size, tile, lambda df, keys: modes.areal_aggregate(df, num_mode, str_mode, keys)
     )
 
 
-def _per_cell(cells: DataFrame, points: DataFrame, size: float | None, tile: float, job) -> DataFrame:
+def per_cell(cells: DataFrame, points: DataFrame, size: float | None, tile: float, job) -> DataFrame:
     """Aggregate points per cell and date.
 
     On a regular grid the aggregate runs on the grid position, so map-side combining
@@ -170,7 +170,7 @@ def majority_value(
         counted = df.groupBy(*keys, "value_str").agg(F.count("*").alias("_n"))
         return counted.groupBy(*keys).agg(F.min_by("value_str", rank).alias("value_str"))
 
-    return _per_cell(cells, points, size, tile, most_frequent)
+    return per_cell(cells, points, size, tile, most_frequent)
 
 
 def combine_modes(numeric: DataFrame | None, text: DataFrame | None) -> DataFrame:
