@@ -242,3 +242,69 @@ def save_table(spark, sf_dir):
     odd = src.filter("k % 2 = 1").select(F.col("v").cast("string").alias("v"), F.col("k").cast("string").alias("k"), "label")
     sinks.save_table(odd, path, append=True, primary_key=["k"])
     return spark.read.parquet(path)
+
+
+TABLES_JOB = [
+    # schema, table, file, append, system of the result, system of the file, go
+    ("sas", "sites", "customers", "false", "2154", "system", "1"),
+    ("sas", "orders", "orders_even", "false", "2154", "", "1"),
+    ("sas", "orders", "orders_odd", "true", "2154", "", "1"),
+    ("sas", "later", "orders_odd", "false", "2154", "", "0"),
+    ("sas", "wrong", "orders_odd", "false", "2154", "", "1"),
+]
+COLUMNS_JOB = [
+    # table, origin column, column, condition, primary key, role of a coordinate, key of the reference table
+    ("sites", "key", "cust", "", "true", "", ""),
+    ("sites", "lon", "lon", "", "", "x", ""),
+    ("sites", "lat", "lat", "", "", "y", ""),
+    ("sites", "system", "system", "", "", "", ""),
+    ("orders", "key", "id", "", "true", "", ""),
+    ("orders", "day", "day", "", "", "", ""),
+    ("orders", "total", "total", "", "", "", ""),
+    ("orders", "customer", "cust", "", "", "", "cust"),
+    ("orders", "status", "status", "O", "", "", ""),
+    ("wrong", "no such column", "x", "", "", "", ""),
+]
+
+
+@register(
+    "S1_S15_load_job",
+    f"""WITH p AS (SELECT c_custkey AS cust, -4.0+(c_custkey*7919%1300)/100.0::DOUBLE AS lon, 42.0+(c_custkey*31%900)/100.0::DOUBLE AS lat FROM customer)
+SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, round(CAST(o_totalprice AS DOUBLE),2) AS total, o_custkey AS cust,
+  round(700000+{_R}*sin({_TH}),3) AS x, round({_NORTH}-{_R}*cos({_TH}),3) AS y,
+  (SELECT avg(CASE WHEN cust IS NULL THEN 0.0 ELSE 1.0 END) FROM orders LEFT JOIN p ON cust=o_custkey WHERE o_orderstatus='O') AS score_geom
+FROM orders LEFT JOIN p ON cust=o_custkey WHERE o_orderstatus='O'""",
+)
+def load_job(spark, sf_dir):
+    from glebe.plans import loading
+
+    folder = scratch_path(spark, "loaded")
+    k = F.col("c_custkey")
+    fx.table(spark, sf_dir, "customer").select(
+        k.alias("key"), ((k * 7919) % 1300 / 100 - 4).cast("string").alias("lon"), ((k * 31) % 900 / 100 + 42).cast("string").alias("lat"),
+        F.lit("4326").alias("system"),
+    ).write.csv(f"{folder}/in/customers", sep=";", header=True)
+    orders = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"),
+        F.replace(F.round(F.col("o_totalprice").cast("double"), 2).cast("decimal(20,2)").cast("string"), F.lit("."), F.lit(",")).alias("total"),
+        F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status"),
+    )
+    for name, rest in (("even", 0), ("odd", 1)):
+        orders.filter(F.col("key") % 2 == rest).write.csv(f"{folder}/in/orders_{name}", sep=";", header=True)
+    tables = spark.createDataFrame(
+        [(s, t, f"{folder}/in/{f}", a, d, i, "a load", go) for s, t, f, a, d, i, go in TABLES_JOB],
+        "table_schema string, table_name string, origin_file string, append string, dest_srid string, proj_init_ifproj string, description string, go string",
+    )
+    columns = spark.createDataFrame(
+        [("sas", *c, "sas" if c[-1] else "", "sites" if c[-1] else "", "a column") for c in COLUMNS_JOB],
+        "table_schema string, table_name string, origin_column string, column_name string, condition string, primary_key string,"
+        " coordinates_ifproj string, geom_join_on string, ref_geom_table_schema string, ref_geom_table_name string, description string",
+    )
+    report = {r["table"]: r["status"] for r in loading.load_tables(tables, columns, folder, "tester").collect()}
+    if report != {"sas.sites": "done", "sas.orders": "done", "sas.later": "skipped", "sas.wrong": "failed"}:
+        raise RuntimeError(f"unexpected report: {report}")
+    tracks = spark.read.parquet(f"{folder}/sas/table_tracks").filter("table_name = 'orders' AND append").select("score_geom")
+    loaded = spark.read.parquet(f"{folder}/sas/orders").select(
+        "id", "day", F.round(F.col("total").cast("double"), 2).alias("total"), "cust", F.round("geom.xmin", 3).alias("x"), F.round("geom.ymin", 3).alias("y")
+    )
+    return loaded.crossJoin(F.broadcast(tracks))

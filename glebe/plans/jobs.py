@@ -102,8 +102,10 @@ def _shares(spec: plan.IndicatorSpec, datasets: DataFrame) -> bool:
         return False
     if not spec.condition_variable:
         return True
+    # a selection would let the filter see the columns it drops
+    kept = datasets.sparkSession.createDataFrame([], T.StructType([datasets.schema[c] for c in KEPT]))
     try:
-        datasets.select(*KEPT).filter(F.expr(spec.condition_variable)).schema
+        kept.filter(F.expr(spec.condition_variable)).schema
     except PySparkException:
         return False
     return True
