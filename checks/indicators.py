@@ -486,3 +486,49 @@ def combine(spark, sf_dir):
         stats.idw(cells, pts, 8, 400.0), stats.majority_value(cells, pts, size=200.0)
     )
     return rounded(both, value_num=6)
+
+
+# ------------------------------------------------------------------ features of any size
+
+
+def region(spark, sf_dir, parts: bool = True):
+    """One mask over the whole domain with a hole of half its width and height, off every tile border."""
+    from glebe.functions import wkt
+
+    top = 40 * fx.domain_rows(spark, sf_dir)
+    w, e, s, n = 1013, 2987, top // 4 + 7, 3 * (top // 4) + 3
+    text = (
+        f"POLYGON((5 5,{fx.WIDTH - 35} 5,{fx.WIDTH - 35} {top - 15},5 {top - 15},5 5),({w} {s},{w} {n},{e} {n},{e} {s},{w} {s}))"
+    )
+    row = spark.createDataFrame([(1, text)], "mask int, text string")
+    return row.select("mask", wkt.parse("text", 2154).alias("geom"))
+
+
+REGION = f"""box AS (SELECT 40*(-(-count(*)//100)) AS top FROM orders),
+mask AS (SELECT top, 1013 AS hw, 2987 AS he, top//4+7 AS hs, 3*(top//4)+3 AS hn FROM box),
+cut AS (SELECT pa.*, greatest(0, least(x1,{fx.WIDTH - 35})-greatest(x0,5))*greatest(0, least(y1,top-15)-greatest(y0,5))
+  - greatest(0, least(x1,he)-greatest(x0,hw))*greatest(0, least(y1,hn)-greatest(y0,hs)) AS a FROM pa, mask)"""
+
+
+@register(
+    "J1_region_mask",
+    f"WITH {fx.ctes('pa')}, {REGION} SELECT fid, CAST(a AS DOUBLE) AS area FROM cut WHERE a>0",
+)
+def region_mask(spark, sf_dir):
+    from glebe.operators import cover
+
+    found = cover.shared_areas(region(spark, sf_dir), fx.parcels_a(spark, sf_dir), "mask", "fid", TILE)
+    return found.select("fid", F.round("area", 3).alias("area"))
+
+
+@register(
+    "J1_cover_parcels_on_cells",
+    f"""WITH {fx.ctes('pa', 'cells')} SELECT fid, id_cell, CAST((least(x1,cx1)-greatest(x0,cx0))*(least(y1,cy1)-greatest(y0,cy0)) AS DOUBLE) AS area
+FROM pa JOIN cells ON x0<cx1 AND x1>cx0 AND y0<cy1 AND y1>cy0""",
+)
+def cover_cells(spark, sf_dir):
+    from glebe.operators import cover
+
+    # a base tile that does not fit the cells, so that both layers are cut
+    found = cover.shared_areas(fx.parcels_a(spark, sf_dir), fx.cells(spark, sf_dir), "fid", "id_cell", 64.0)
+    return found.select("fid", "id_cell", F.round("area", 3).alias("area"))
