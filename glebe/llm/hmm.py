@@ -47,7 +47,7 @@ LONG = 1 << 16
 SCALED = 8
 BYTES = 5  # of a token, for the number of shards only
 END = b"\n"  # no word holds white space
-_CELLS = 500_000
+_CELLS = 250_000
 
 
 class Vocabulary(NamedTuple):
@@ -150,7 +150,7 @@ def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """``df`` written in the shared folder in buckets of ``key``, so that joins by it do not move it."""
     path, table = scratch_path(df.sparkSession, name), f"{name}_{uuid.uuid4().hex}"
     with shuffles_dropped(df.sparkSession):
-        df.write.option("path", path).bucketBy(buckets, key).saveAsTable(table)
+        df.write.option("path", path).option("compression", "zstd").bucketBy(buckets, key).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

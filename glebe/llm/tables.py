@@ -33,7 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written in the cluster's shared folder and read again: cuts the lineage."""
     path = scratch_path(df.sparkSession, name)
     with shuffles_dropped(df.sparkSession):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
