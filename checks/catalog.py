@@ -380,3 +380,120 @@ def pivot_other(spark, sf_dir):
     return results.pivot_on_grid(wide, other, 2).withColumn("geom", F.col("geom.xmin")).withColumnRenamed("geom", "x")
 
 
+
+
+# ------------------------------------------------------------------ grids and pivots from table columns, row by row
+
+
+def _grid_source(spark, sf_dir, step: int = 0):
+    """Parcels as the cells of a source grid; every second one moved by ``step`` metres."""
+    from glebe.functions import geometry as g
+
+    c, move = F.col("geom"), F.when(F.col("fid") % 2 == 0, F.lit(float(step))).otherwise(F.lit(0.0))
+    return fx.parcels_a(spark, sf_dir).select(
+        F.concat(F.lit("P"), F.col("fid").cast("string")).alias("cell_code"), "fid",
+        g.rectangle(c.xmin + move, c.ymin + move, c.xmax + move, c.ymax + move).alias("geom"),
+    )
+
+
+def _grid_stored(spark, sf_dir):
+    """The grid as loaded before: two thirds of the parcels under ids of their own, and a cell of another grid."""
+    from glebe.functions import geometry as g
+
+    mine = _grid_source(spark, sf_dir).filter("fid % 3 <> 0").select((F.col("fid") + 10).alias("id_cell"), "cell_code", F.lit(1).alias("id_grid"), "geom")
+    other = fx.table(spark, sf_dir, "nation").select(
+        (-F.col("n_nationkey") - 1).cast("bigint").alias("id_cell"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("cell_code"),
+        F.lit(2).alias("id_grid"), g.rectangle(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.col("n_nationkey") + 1.0).alias("geom"),
+    )
+    return mine.unionByName(other)
+
+
+BOX = ["xmin", "ymin", "xmax", "ymax"]
+PARCEL_BOX = "CAST(x0 AS DOUBLE) AS xmin, CAST(y0 AS DOUBLE) AS ymin, CAST(x1 AS DOUBLE) AS xmax, CAST(y1 AS DOUBLE) AS ymax"
+NATION_CELLS = "SELECT 'N'||n_nationkey AS cell_code, 2 AS id_grid, 0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, CAST(n_nationkey+1 AS DOUBLE)"
+
+
+def _boxes(df, *columns):
+    return df.select("cell_code", "id_grid", *[F.col(f"geom.{n}").alias(n) for n in BOX], *columns)
+
+
+@register(
+    "R1_grid_replace_rows",
+    f"""WITH {fx.ctes('pa')}, top AS (SELECT -1 AS kept, count(*) AS n FROM pa) SELECT 'P'||fid AS cell_code, 1 AS id_grid, {PARCEL_BOX},
+  true AS new_id FROM pa UNION ALL {NATION_CELLS}, false FROM nation""",
+)
+def grid_replace_rows(spark, sf_dir):
+    out = grids.build_grid(_grid_stored(spark, sf_dir), _grid_source(spark, sf_dir), 1)
+    n = fx.table(spark, sf_dir, "orders").count()
+    # the new ids follow the largest one that stays, each once
+    ids = out.filter("id_grid = 1").select("id_cell").distinct().withColumn("fresh", F.col("id_cell").between(0, n - 1))
+    return _boxes(out.join(ids, "id_cell", "left"), F.coalesce("fresh", F.lit(False)).alias("new_id"))
+
+
+@register(
+    "R2_J7_grid_add_rows",
+    f"""WITH {fx.ctes('pa')} SELECT 'P'||fid AS cell_code, 1 AS id_grid, {PARCEL_BOX},
+  CASE WHEN fid%3<>0 THEN fid+10 END AS old_id FROM pa UNION ALL {NATION_CELLS}, -n_nationkey-1 FROM nation""",
+)
+def grid_add_rows(spark, sf_dir):
+    stored = _grid_stored(spark, sf_dir)
+    out = grids.build_grid(stored, _grid_source(spark, sf_dir, 5).filter("fid % 3 = 0 OR fid % 2 = 0"), 1, mode="adddiff")
+    odd = _grid_source(spark, sf_dir).filter("fid % 3 = 0 AND fid % 2 = 0")
+    # stored geometry stays; added even ones come moved, and are moved back for the comparison
+    back = odd.select("cell_code", F.col("geom").alias("unmoved"))
+    top = stored.agg(F.max("id_cell")).first()[0]
+    fixed = out.join(back, "cell_code", "left").withColumn("geom", F.coalesce("unmoved", "geom"))
+    return _boxes(fixed, F.when(F.col("id_cell") <= top, F.col("id_cell")).alias("old_id"))
+
+
+@register("J7_missing_rows", f"WITH {fx.ctes('pa')} SELECT 'P'||fid AS cell_code, CAST(x0 AS DOUBLE) AS xmin, CAST(y1 AS DOUBLE) AS ymax FROM pa WHERE fid%3=0")
+def missing_rows(spark, sf_dir):
+    out = grids.missing_codes(_grid_source(spark, sf_dir), _grid_stored(spark, sf_dir))
+    return out.select("cell_code", "geom.xmin", "geom.ymax")
+
+
+@register(
+    "R3_J8_grid_update_rows",
+    f"""WITH {fx.ctes('pa')}, m AS (SELECT *, CASE WHEN fid%2=0 THEN 15 ELSE 0 END AS s FROM pa WHERE fid%3<>0)
+SELECT 'P'||fid AS cell_code, 1 AS id_grid, CAST(x0+s AS DOUBLE) AS xmin, CAST(y0+s AS DOUBLE) AS ymin, CAST(x1+s AS DOUBLE) AS xmax, CAST(y1+s AS DOUBLE) AS ymax,
+  fid+10 AS id_cell FROM m UNION ALL {NATION_CELLS}, -n_nationkey-1 FROM nation""",
+)
+def grid_update_rows(spark, sf_dir):
+    out = grids.build_grid(_grid_stored(spark, sf_dir), _grid_source(spark, sf_dir, 15), 1, mode="updategeom")
+    return _boxes(out, "id_cell")
+
+
+def _long(wide, *keys):
+    """A pivot by date as rows again."""
+    dates = [c for c in wide.columns if c.startswith("value_")]
+    rows = F.array(*[F.struct(F.to_date(F.lit(c[6:]), "yyyyMMdd").alias("date_result"), F.col(c).alias("value")) for c in dates])
+    return wide.select(*keys, F.inline(rows)).filter("value IS NOT NULL")
+
+
+@register(
+    "I11_I15_pivot_every_date",
+    f"WITH {BUILD} SELECT id_cell, cell_code, CAST(date_result AS DATE) AS date_result, value_num AS value FROM built JOIN cells USING (id_cell)",
+)
+def pivot_num_all(spark, sf_dir):
+    found = rounded(_built(spark, sf_dir), value_num=9)
+    return _long(results.pivot_results(found, fx.cells(spark, sf_dir), "num"), "id_cell", "cell_code")
+
+
+@register(
+    "I12_I13_pivot_text_every_date",
+    f"WITH {BUILD} SELECT id_cell, cell_code, CAST(date_result AS DATE) AS date_result, value_str AS value FROM built JOIN cells USING (id_cell) WHERE value_str IS NOT NULL",
+)
+def pivot_text_all(spark, sf_dir):
+    path = scratch_path(spark, "pivot")
+    results.save_pivot(results.pivot_results(_built(spark, sf_dir), fx.cells(spark, sf_dir), "str"), path)
+    return _long(spark.read.parquet(path), "id_cell", "cell_code")
+
+
+@register(
+    "I14_J11_pivot_on_grid_every_date",
+    f"WITH {BUILD} SELECT cell_code, CAST(cx0+1000 AS DOUBLE) AS x, CAST(date_result AS DATE) AS date_result, value_num AS value FROM built JOIN cells USING (id_cell) WHERE id_cell%2=0",
+)
+def pivot_other_all(spark, sf_dir):
+    found = rounded(_built(spark, sf_dir), value_num=9)
+    wide = results.pivot_on_grid(results.pivot_results(found, fx.cells(spark, sf_dir), "num"), _shifted(spark, sf_dir), 2)
+    return _long(wide.withColumn("x", F.col("geom.xmin")), "cell_code", "x")
