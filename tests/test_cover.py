@@ -33,7 +33,7 @@ def test_pieces_grow_with_the_border(mask):
         assert pieces.filter(~inside).count() == 0 and len(levels) > (tile < 200)
         counts.append(pieces.count())
     border = 2 * (3960 + 580) + 2 * (1974 + 300)
-    assert counts[0] < 4 * border / 200 and counts[1] < 2.6 * counts[0]
+    assert counts[0] < 4 * border / 200 and counts[1] < 4 * border / 100
 
 
 def test_join_does_not_depend_on_the_tile(spark, mask):
