@@ -47,7 +47,7 @@ LONG = 1 << 16
 SCALED = 8
 BYTES = 5  # of a token, for the number of shards only
 END = b"\n"  # no word holds white space
-_CELLS = 250_000
+_CELLS = 400_000
 
 
 class Vocabulary(NamedTuple):
