@@ -50,7 +50,7 @@ def _started(layer: DataFrame, tile: float) -> DataFrame:
     return across.withColumn("_cy", F.explode(F.sequence(F.floor(c.ymin / s), F.floor(c.ymax / s))))
 
 
-def _quadrants(rows: DataFrame) -> DataFrame:
+def quadrants(rows: DataFrame) -> DataFrame:
     bits = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
     split = rows.withColumn("_q", F.explode(bits))
     return split.withColumns(
@@ -74,7 +74,7 @@ def covered(layer: DataFrame, tile: float = 200.0) -> tuple[DataFrame, list[int]
         rest = pieces.filter(~ready)
         if rest.isEmpty():
             break
-        pieces = _clipped(_quadrants(rest), tile)
+        pieces = _clipped(quadrants(rest), tile)
     every = reduce(DataFrame.unionByName, done).drop("_full")
     return every, sorted(r[0] for r in every.select("_level").distinct().collect())
 

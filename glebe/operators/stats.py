@@ -9,7 +9,7 @@ from glebe.functions import measure as m
 from glebe.functions import overlay as o
 from glebe.operators import modes
 from glebe.operators.joins import grid_cells, knn_join, lattice_origin, on_grid, points_in_cells, spatial_join
-from glebe.operators.layers import dissolve
+from glebe.operators.ground import united_size
 
 OUT = [
     "id_cell",
@@ -68,12 +68,10 @@ def polygon_stats(
     pieces = _pieces(sized_cells, features, tile, hot_rows)
     if dissolve_by == "value":
         keys = ["id_cell", "date_result", "value_num", "value_str", "var_size", "density", "cell_area"]
-        pieces = dissolve(pieces, keys)
-    return _finish(
-        pieces.withColumn("inter", F.coalesce(m.area("geom"), F.lit(0.0))).withColumn(
-            "cell_prop", F.try_divide(F.col("inter"), F.col("cell_area"))
-        )
-    )
+        measured = united_size(pieces, keys, "area")
+    else:
+        measured = pieces.withColumn("inter", F.coalesce(m.area("geom"), F.lit(0.0))).drop("geom")
+    return _finish(measured.withColumn("cell_prop", F.try_divide(F.col("inter"), F.col("cell_area"))))
 
 
 def line_stats(
@@ -92,8 +90,9 @@ def line_stats(
     pieces = _pieces(sized_cells, features, tile, hot_rows)
     if dissolve_by == "value":
         keys = ["id_cell", "date_result", "value_num", "value_str", "var_size", "density"]
-        pieces = dissolve(pieces, keys)
-    measured = pieces.withColumn("inter", F.coalesce(m.length("geom"), F.lit(0.0))).drop("geom")
+        measured = united_size(pieces, keys, "length")
+    else:
+        measured = pieces.withColumn("inter", F.coalesce(m.length("geom"), F.lit(0.0))).drop("geom")
     # totals are pre-aggregated per map task; a window would send a full cell to one task
     totals = (
         measured.groupBy("id_cell", "date_result")
