@@ -10,6 +10,7 @@ from glebe.functions import overlay as o
 from glebe.operators import modes
 from glebe.operators.joins import grid_cells, knn_join, lattice_origin, on_grid, points_in_cells, spatial_join
 from glebe.operators.ground import united_size
+from glebe.operators.layers import dissolve
 
 OUT = [
     "id_cell",
@@ -47,18 +48,26 @@ def _finish(pieces: DataFrame) -> DataFrame:
     )
 
 
+def _measured(pieces: DataFrame, size) -> DataFrame:
+    return pieces.withColumn("inter", F.coalesce(size("geom"), F.lit(0.0))).drop("geom")
+
+
 def polygon_stats(
     cells: DataFrame,
     data: DataFrame,
     tile: float = 200.0,
     dissolve_by: str = "value",
     hot_rows: int | None = None,
+    lazy: bool = False,
 ) -> DataFrame:
     """Polygon x cell overlay.
 
     ``dissolve_by='value'`` unites pieces of a cell that agree in value, size and density,
     ``'feature'`` keeps every distinct feature.  A feature that only touches a cell counts
     with zero area.
+
+    Pieces that agree are measured by ``ground.united_size``, which stores the overlay; ``lazy`` runs nothing and
+    unites a cell's pieces of a value in one row, which a group with a large share of the layer does not bear.
     """
     sized_cells = cells.select("id_cell", "geom").withColumn("cell_area", m.area("geom"))
     features = _sized(data, m.area)
@@ -68,9 +77,9 @@ def polygon_stats(
     pieces = _pieces(sized_cells, features, tile, hot_rows)
     if dissolve_by == "value":
         keys = ["id_cell", "date_result", "value_num", "value_str", "var_size", "density", "cell_area"]
-        measured = united_size(pieces, keys, "area")
+        measured = _measured(dissolve(pieces, keys), m.area) if lazy else united_size(pieces, keys, "area")
     else:
-        measured = pieces.withColumn("inter", F.coalesce(m.area("geom"), F.lit(0.0))).drop("geom")
+        measured = _measured(pieces, m.area)
     return _finish(measured.withColumn("cell_prop", F.try_divide(F.col("inter"), F.col("cell_area"))))
 
 
@@ -80,8 +89,9 @@ def line_stats(
     tile: float = 200.0,
     dissolve_by: str = "value",
     hot_rows: int | None = None,
+    lazy: bool = False,
 ) -> DataFrame:
-    """Line x cell overlay; a piece's share is taken of all length in the cell."""
+    """Line x cell overlay; a piece's share is taken of all length in the cell. ``lazy`` as in ``polygon_stats``."""
     sized_cells = cells.select("id_cell", "geom").withColumn("cell_area", F.lit(0.0))
     features = _sized(data, m.length)
     if dissolve_by == "feature" or hot_rows is not None:
@@ -90,9 +100,9 @@ def line_stats(
     pieces = _pieces(sized_cells, features, tile, hot_rows)
     if dissolve_by == "value":
         keys = ["id_cell", "date_result", "value_num", "value_str", "var_size", "density"]
-        measured = united_size(pieces, keys, "length")
+        measured = _measured(dissolve(pieces, keys), m.length) if lazy else united_size(pieces, keys, "length")
     else:
-        measured = pieces.withColumn("inter", F.coalesce(m.length("geom"), F.lit(0.0))).drop("geom")
+        measured = _measured(pieces, m.length)
     # totals are pre-aggregated per map task; a window would send a full cell to one task
     totals = (
         measured.groupBy("id_cell", "date_result")

@@ -152,7 +152,9 @@ def shared_indicators(cells: DataFrame, data: DataFrame, specs: Sequence[plan.In
     else:
         overlay = stats.polygon_stats if kind == "polygon" else stats.line_stats
         how = "feature" if first.per_feature else "value"
-        wide = each(overlay(cells, data, first.tile, how, first.hot_rows), ["id_cell", "date_result"])
+        # one plan for the group of jobs, unless they expect hot groups
+        found = overlay(cells, data, first.tile, how, first.hot_rows, lazy=first.hot_rows is None)
+        wide = each(found, ["id_cell", "date_result"])
     rows = F.array(*[
         F.struct(
             F.lit(s.id_indicator).cast("bigint").alias("id_indicator"), F.col(f"n_{i}").alias("n"),
