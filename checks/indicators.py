@@ -9,7 +9,7 @@ from checks import register
 from glebe import fixtures as fx
 from glebe.functions import geometry as g
 from glebe.functions import measure as m
-from glebe.operators import joins, layers, modes, stats
+from glebe.operators import ground, joins, layers, modes, stats
 
 TILE = 200.0
 
@@ -262,6 +262,42 @@ def line_stats_feature(spark, sf_dir):
     return rounded(line_stats_of(spark, sf_dir, "feature"), **RATIOS)
 
 
+# every third order lies in one group, the others in that of their priority
+PLOTS = """plots AS (
+  SELECT CASE WHEN o_orderkey%3=0 THEN 'every third' ELSE o_orderpriority END AS plot_group,
+    o_orderkey%613 AS x, (o_orderkey//7)%389 AS y, 1+o_custkey%4 AS w, 1+o_orderkey%5 AS h FROM orders)"""
+
+
+def plots(spark, sf_dir, shape) -> DataFrame:
+    key, s = F.col("o_orderkey"), {}
+    s["x"], s["y"] = key % 613, F.floor(key / 7) % 389
+    s["w"], s["h"] = 1 + F.col("o_custkey") % 4, 1 + key % 5
+    named = F.when(key % 3 == 0, "every third").otherwise(F.col("o_orderpriority"))
+    rows = fx.table(spark, sf_dir, "orders").select(named.alias("plot_group"), *[v.alias(n) for n, v in s.items()])
+    return rows.select("plot_group", shape(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h")).alias("geom"))
+
+
+@register(
+    "G17_I1_ground_of_large_groups",
+    f"""WITH {PLOTS}, squares AS (
+  SELECT DISTINCT plot_group, sx, sy FROM plots, unnest(range(x, x+w)) AS t(sx), unnest(range(y, y+h)) AS u(sy))
+SELECT plot_group, CAST(count(*) AS DOUBLE) AS ground FROM squares GROUP BY plot_group""",
+)
+def ground_of_large_groups(spark, sf_dir):
+    found = ground.united_size(plots(spark, sf_dir, g.rectangle), ["plot_group"], "area", "ground")
+    return rounded(found, ground=6)
+
+
+@register(
+    "G17_I2_length_of_large_groups",
+    f"""WITH {PLOTS}, stretches AS (SELECT DISTINCT plot_group, sx, y FROM plots, unnest(range(x, x+w)) AS t(sx))
+SELECT plot_group, CAST(count(*) AS DOUBLE) AS length FROM stretches GROUP BY plot_group""",
+)
+def length_of_large_groups(spark, sf_dir):
+    level = plots(spark, sf_dir, lambda x0, y0, x1, y1: g.segment(x0, y0, x1, y0))
+    return rounded(ground.united_size(level, ["plot_group"], "length", "length"), length=6)
+
+
 # ------------------------------------------------------------------ aggregation modes
 
 PLAIN = (
