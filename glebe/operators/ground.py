@@ -1,9 +1,11 @@
 """Ground and length that the pieces of a group cover together, without ever uniting a whole group.
 
 A group with one piece of any size has that piece's size. Of the others, copies are dropped and a group of up to
-``most`` pieces is united in its row. A larger one is cut by a quadtree over its own box: a cell that one piece fills
-counts as a whole, a cell with few pieces is united, and only crowded cells are quartered again. So a row
-holds at most ``most`` pieces, whatever share of the layer the group has, and sizes of cells add up to the group's.
+``most`` pieces is united in its row. A larger one is cut by a quadtree that starts at cells fit for its box and
+count: a cell that one piece fills counts as a whole, a cell with few pieces is united, and only crowded cells are
+quartered again. So a row holds at most ``most`` pieces, whatever share of the layer the group has, and sizes of
+cells add up to the group's. Only a smallest cell that is still crowded (many shapes that cross in one point) is
+united by buckets that meet in one row.
 """
 
 from __future__ import annotations
@@ -36,15 +38,21 @@ def _united(rows: DataFrame, by: Sequence[str], size) -> DataFrame:
     return met.withColumn("_u", o.union_of("_g")).select(*by, size("_u").alias("_size"))
 
 
-def _rooted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per piece (of lines: per segment) and cell of its group's own size that it meets."""
+def _rooted(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """One row per piece (of lines: per segment) and cell of its group's first level that it meets.
+
+    With pieces spread evenly a cell of that level would hold ``most`` of them. Its side is at least the root mean
+    square of the pieces' extents, so there are a few rows per piece on average, however large some are.
+    """
     c = F.col("geom")
     segments = F.transform(c.parts, lambda s: g.from_parts("line", c.srid, F.array(s)))
     single = rows.withColumn("geom", F.explode(F.when(c.kind == "line", segments).otherwise(F.array(c))))
     box = [f("geom." + n).alias(f"_{n}") for f, n in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))]
-    boxes = rows.groupBy(*keys).agg(*box)
+    own = F.greatest(c.xmax - c.xmin, c.ymax - c.ymin)
+    boxes = single.groupBy(*keys).agg(*box, F.count("*").alias("_n"), F.sqrt(F.avg(own * own)).alias("_rms"))
     extent = F.greatest(F.col("_xmax") - F.col("_xmin"), F.col("_ymax") - F.col("_ymin"))
-    level = F.greatest(F.ceil(F.log2(extent)), F.lit(FINEST)).cast("int")
+    side = F.least(extent, F.greatest(F.col("_rms"), extent / F.sqrt(F.col("_n") / most)))
+    level = F.greatest(F.ceil(F.log2(side)), F.lit(FINEST)).cast("int")
     sized = boxes.select(*[F.col(k).alias(f"_of_{k}") for k in keys], level.alias("_level"))
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
     placed = single.join(sized, same).drop(*[f"_of_{k}" for k in keys])
@@ -68,7 +76,7 @@ def _clipped(rows: DataFrame, size) -> DataFrame:
 def _by_cells(rows: DataFrame, keys: Sequence[str], size, most: int) -> list[DataFrame]:
     """Sizes by cell of the groups that are too large for one row."""
     by, whole, few, last = [*keys, *CELL], [], [], []
-    pieces = _clipped(_rooted(rows, keys), size)
+    pieces = _clipped(_rooted(rows, keys, most), size)
     while True:
         # copies meet in the map-side step, the rest is spread by shape and not by group
         pieces = cut_lineage(pieces.dropDuplicates([*by, "geom"]))
