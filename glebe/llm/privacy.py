@@ -182,6 +182,11 @@ def scan(
     return with_terms.select(*docs.columns, base, terms).unionByName(clean.select(*docs.columns, base, terms)), (base, terms)
 
 
+def number(spans: Column | str, kind: int) -> Column:
+    """How many of the spans are of a kind. The condition takes one argument: a second one would be the position."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def digest(spans: Column) -> Column:
     """kind:start:end of the spans by start, then kind, comma-joined."""
     kind = F.array(*[F.lit(k) for k in KINDS])
