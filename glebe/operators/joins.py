@@ -231,6 +231,14 @@ def grid_cells(cells: DataFrame, size: float, origin: tuple[float, float] = (0.0
 # --------------------------------------------------------------------------- nearest
 
 
+def _shuffled(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join of two sides that are larger than Spark takes them for.
+
+    Its size estimate does not see that ``explode`` multiplies rows, so it would send them all through the driver.
+    """
+    return a.hint("merge").join(b.hint("merge"), list(keys))
+
+
 def knn_join(
     cells: DataFrame,
     points: DataFrame,
@@ -241,7 +249,8 @@ def knn_join(
     """The ``k`` points nearest to each cell centroid, separately for every ``by`` group.
 
     Tiles form a pyramid (each level twice as wide).  A cell picks the finest level
-    whose 3x3 block around the centroid holds ``k`` points; the block's far corner then
+    whose 3x3 block around the centroid holds ``k`` points, the same for all cells whose
+    centroids share a finest tile; the block's far corner then
     bounds the k-th distance, and only non-empty tiles within that bound are read.  The
     rank limit is applied per map task before the shuffle, so a tile holding most of the
     points sends ``k`` rows per cell and task, not all of them.
@@ -278,25 +287,33 @@ def knn_join(
     def around(name: str, n: int) -> Column:
         return F.explode(F.sequence(F.col(name) - n, F.col(name) + n))
 
+    # points in the 3x3 block around every tile that has any, and the first level with enough for each tile with sites
+    blocks = (
+        counts.withColumn("_ox", around("_px", 1)).withColumn("_oy", around("_py", 1))
+        .groupBy(*by, "_l", "_ox", "_oy").agg(F.sum("_n").alias("_n3"))
+        # the top level stands for "all there is" when a group has fewer than k points
+        .filter((F.col("_n3") >= k) | (F.col("_l") == levels))
+    )
     spots = sites.select("id_cell", "_cx", "_cy").distinct()
+    spots = spots.withColumn("_sx", F.floor(F.col("_cx") / tile)).withColumn("_sy", F.floor(F.col("_cy") / tile))
     asked = (
-        spots.select("*", level)
-        .withColumn("_ox", F.floor(F.col("_cx") / width))
-        .withColumn("_oy", F.floor(F.col("_cy") / width))
-        .withColumn("_px", around("_ox", 1))
-        .withColumn("_py", around("_oy", 1))
+        spots.select("_sx", "_sy").distinct().select("*", level)
+        .withColumn("_ox", F.floor(F.col("_sx") / up))
+        .withColumn("_oy", F.floor(F.col("_sy") / up))
     )
-    # the top level stands for "all there is" when a group has fewer than k points
-    enough = (F.col("_n3") >= k) | (F.col("_l") == levels)
     chosen = (
-        asked.join(counts, ["_l", "_px", "_py"])
-        .groupBy(*by, "id_cell", "_cx", "_cy", "_l", "_ox", "_oy")
-        .agg(F.sum("_n").alias("_n3"))
-        .filter(enough)
-        .groupBy(*by, "id_cell", "_cx", "_cy")
+        _shuffled(asked, blocks, ["_l", "_ox", "_oy"])
+        .groupBy(*by, "_sx", "_sy")
         .agg(F.min(F.struct("_l", "_ox", "_oy", "_n3")).alias("_m"))
-        .select(*by, "id_cell", "_cx", "_cy", "_m.*")
+        .select(*by, "_sx", "_sy", "_m.*")
     )
+    # sqrt(8) tile widths at most: three tiles to each side
+    near = (
+        chosen.select(*by, "_l", "_ox", "_oy").distinct()
+        .withColumn("_px", around("_ox", 3))
+        .withColumn("_py", around("_oy", 3))
+    )
+    near = _shuffled(near, parents.drop("_n"), [*by, "_l", "_px", "_py"]).drop("_px", "_py")
     # distance to the far corner of the 3x3 block: the k-th neighbour is not beyond it
     far_x = F.greatest(
         F.col("_cx") - (F.col("_ox") - 1) * width, (F.col("_ox") + 2) * width - F.col("_cx")
@@ -305,19 +322,13 @@ def knn_join(
         F.col("_cy") - (F.col("_oy") - 1) * width, (F.col("_oy") + 2) * width - F.col("_cy")
     )
     reach = F.when(F.col("_n3") >= k, F.hypot(far_x, far_y)).otherwise(F.lit(float("inf")))
-    # sqrt(8) tile widths at most: three tiles to each side
-    block = (
-        chosen.withColumn("_r", reach)
-        .withColumn("_px", around("_ox", 3))
-        .withColumn("_py", around("_oy", 3))
-        .drop("_ox", "_oy", "_n3")
-    )
+    asking = _shuffled(spots, chosen, ["_sx", "_sy"]).withColumn("_r", reach).drop("_sx", "_sy", "_n3")
 
     def gap(c: Column, t: Column) -> Column:
         return F.greatest(t * tile - c, c - (t + 1) * tile, F.lit(0.0))
 
     tiles = (
-        block.join(parents.drop("_n"), [*by, "_l", "_px", "_py"])
+        _shuffled(asking, near, [*by, "_l", "_ox", "_oy"])
         .filter(
             F.hypot(gap(F.col("_cx"), F.col("_tx")), gap(F.col("_cy"), F.col("_ty")))
             <= F.col("_r")
@@ -325,7 +336,7 @@ def knn_join(
         .select(*by, "id_cell", "_cx", "_cy", "_r", "_tx", "_ty")
     )
     candidates = (
-        tiles.join(pts, [*by, "_tx", "_ty"])
+        _shuffled(tiles, pts, [*by, "_tx", "_ty"])
         .withColumn(
             "distance",
             F.hypot(F.col("geom.xmin") - F.col("_cx"), F.col("geom.ymin") - F.col("_cy")),
