@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glebe.functions import geometry as g
 from glebe.functions import overlay as o
@@ -105,6 +108,23 @@ FEATURES = (
 )
 
 
+BLOCK = 64  # pixels along the side of a square whose windows are summed together
+
+#: factors of a count of the pair (i, j)
+_WEIGHTS = {
+    "t": lambda i, j: 1.0,
+    "si": lambda i, j: i,
+    "sii": lambda i, j: i * i,
+    "sij": lambda i, j: i * j,
+    "idm": lambda i, j: 1 / (1 + (i - j) ** 2),
+    "dd": lambda i, j: (i - j) ** 2,
+    "s1": lambda i, j: i + j,
+    "s2": lambda i, j: (i + j) ** 2,
+    "s3": lambda i, j: (i + j) ** 3,
+    "s4": lambda i, j: (i + j) ** 4,
+}
+
+
 def haralick(
     px: DataFrame,
     value: str,
@@ -117,8 +137,8 @@ def haralick(
 ) -> DataFrame:
     """Eight texture features per pixel from grey-level co-occurrence in its window.
 
-    Pairs are counted into window rows first and window columns second, so a pixel is
-    copied 2 x 11 times instead of 121, and each step combines before its shuffle.
+    Pairs are counted per pixel; squares of ``BLOCK`` pixels with a rim of ``radius`` around them then sum their windows.
+    So a pixel travels once, or a few times near the border of its square, and a task holds one square.
     """
     v = F.col(value)
     bins = F.least(F.greatest(F.floor((v - low) / (high - low) * nbins), F.lit(0)), F.lit(nbins - 1))
@@ -135,44 +155,53 @@ def haralick(
         )
         pairs = pairs.select(*PIXEL, F.explode(both).alias("p")).select(*PIXEL, "p.i", "p.j")
 
-    def spread(name: str) -> Column:
-        return F.explode(F.sequence(F.col(name) - radius, F.col(name) + radius))
+    counted = pairs.groupBy(*PIXEL, "i", "j").agg(F.count("*").alias("n"))
 
-    strips = (
-        pairs.groupBy(*PIXEL, "i", "j").agg(F.count("*").alias("n"))
-        .select("scene", spread("row").alias("row"), "col", "i", "j", "n")
-        .groupBy(*PIXEL, "i", "j").agg(F.sum("n").alias("n"))
-    )
-    windows = (
-        strips.select("scene", "row", spread("col").alias("col"), "i", "j", "n")
-        .groupBy(*PIXEL, "i", "j").agg(F.sum("n").alias("n"))
-    )
-    return _features(windows, nbins).join(grey.select(*PIXEL), PIXEL, "left_semi")
-
-
-def _features(windows: DataFrame, nbins: int) -> DataFrame:
-    n, i, j = F.col("n"), F.col("i"), F.col("j")
-    s, d2 = i + j, (i - j) * (i - j)
-    sums = {
-        "t": n,
-        "nn": n * n,
-        "nl": n * F.log2(n.cast("double")),
-        "si": n * i,
-        "sii": n * i * i,
-        "sij": n * i * j,
-        "idm": n / (1 + d2),
-        "dd": n * d2,
-        "s1": n * s,
-        "s2": n * s * s,
-        "s3": n * s * s * s,
-        "s4": n * s * s * s * s,
-    }
-    rows = windows.groupBy(*PIXEL, "i").agg(
-        *[F.sum(e).cast("double").alias(k) for k, e in sums.items()]
-    )
-    whole = rows.groupBy(*PIXEL).agg(
-        *[F.sum(k).alias(k) for k in sums], F.sum(F.col("t") * F.col("t")).alias("mm")
+    def blocks(name: str, rim: int) -> Column:
+        return F.explode(F.sequence(F.floor((F.col(name) - rim) / BLOCK), F.floor((F.col(name) + rim) / BLOCK)))
+
+    def dealt(rows: DataFrame, rim: int) -> DataFrame:
+        return rows.withColumn("_by", blocks("row", rim)).withColumn("_bx", blocks("col", rim))
+
+    # a pixel to be described is a row without a pair
+    none = F.lit(None).cast("int")
+    asked = grey.select(*PIXEL).dropna().distinct().select(*PIXEL, none.alias("i"), none.alias("j"), F.lit(0).cast("bigint").alias("n"))
+    whole = dealt(counted, radius).unionByName(dealt(asked, 0)).groupBy("scene", "_by", "_bx").applyInPandas(
+        _window_sums(radius), T.StructType([px.schema[c] for c in PIXEL] + [T.StructField(k, T.DoubleType()) for k in (*_WEIGHTS, "nn", "nl", "mm")])
     )
+    return _features(whole, nbins)
+
+
+def _window_sums(radius: int):
+    """Sums over the co-occurrence counts of each asked pixel's window, for the rows of one square of pixels."""
+
+    def sums(rows: pd.DataFrame) -> pd.DataFrame:
+        y0, x0 = (int(rows[k].iloc[0]) * BLOCK for k in ("_by", "_bx"))
+        asked = rows[rows["i"].isna()]
+        y, x = (asked["row"] - y0).to_numpy(int), (asked["col"] - x0).to_numpy(int)
+        out = {k: np.zeros(len(asked)) for k in (*_WEIGHTS, "nn", "nl", "mm")}
+        for i, same in rows[rows["i"].notna()].groupby("i"):
+            own = np.zeros(len(asked))
+            for j, pair in same.groupby("j"):
+                # summed area table: its corners give the count of any window
+                table = np.zeros((BLOCK + 2 * radius + 1,) * 2)
+                np.add.at(table, ((pair["row"] - y0 + radius + 1).to_numpy(int), (pair["col"] - x0 + radius + 1).to_numpy(int)), pair["n"].to_numpy())
+                table = table.cumsum(0).cumsum(1)
+                w = 2 * radius + 1
+                n = table[y + w, x + w] - table[y, x + w] - table[y + w, x] + table[y, x]
+                for k, weight in _WEIGHTS.items():
+                    out[k] += n * weight(i, j)
+                out["nn"] += n * n
+                out["nl"] += n * np.log2(np.maximum(n, 1))
+                own += n
+            out["mm"] += own * own
+        found = asked[PIXEL].assign(**out)
+        return found[found["t"] > 0]
+
+    return sums
+
+
+def _features(whole: DataFrame, nbins: int) -> DataFrame:
     # from sums to expectations
     t = F.col("t")
     e = {k: F.col(k) / t for k in ("si", "sii", "sij", "s1", "s2", "s3", "s4")}
