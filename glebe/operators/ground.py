@@ -20,7 +20,7 @@ from glebe.functions import geometry as g
 from glebe.functions import measure as m
 from glebe.functions import overlay as o
 from glebe.operators.cover import CELL, quadrants
-from glebe.operators.layers import dissolve
+from glebe.operators.layers import computed, dissolve
 from glebe.session import cut_lineage
 
 FINEST = -4  # cells of 2^-4 m are not cut further: smaller ones come near the smallest part that counts
@@ -35,7 +35,7 @@ def _matched(rows: DataFrame, groups: DataFrame, by: Sequence[str], how: str = "
 def _united(rows: DataFrame, by: Sequence[str], size) -> DataFrame:
     """Size of the union per group of few pieces."""
     met = rows.groupBy(*by).agg(F.sort_array(F.collect_list("geom")).alias("_g"))
-    return met.withColumn("_u", o.union_of("_g")).select(*by, size("_u").alias("_size"))
+    return computed(met, o.union_of("_g"), "_u").select(*by, size("_u").alias("_size"))
 
 
 def _rooted(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
@@ -67,8 +67,9 @@ def _clipped(rows: DataFrame, size) -> DataFrame:
     x, y = F.col("_cx") * s, F.col("_cy") * s
     beyond = (c.kind == "line") & ((c.xmin >= x + s) | (c.ymin >= y + s))
     cell = g.make("polygon", c.srid, F.lit(None), (x, y, x + s, y + s))
-    cut = rows.filter(~beyond).withColumn("_cell", cell).withColumn("geom", o.intersection("geom", "_cell"))
-    met = cut.withColumn("_size", size("geom")).filter(F.col("_size") > g.MIN_PART)
+    # a row cuts and measures its piece once, whatever is filtered on it
+    cut = computed(rows.filter(~beyond).withColumn("_cell", cell), o.intersection("geom", "_cell"))
+    met = computed(cut, size("geom"), "_size").filter(F.col("_size") > g.MIN_PART)
     full = (c.kind == "polygon") & (F.col("_size") >= s * s - g.MIN_PART)
     return met.withColumn("_full", full).drop("_cell", "_size")
 
