@@ -129,17 +129,9 @@ def dissolve(
     """
     keys = list(keys)
     spread = layer.withColumn("_b", F.pmod(F.xxhash64(geom), F.lit(buckets)))
-    first = (
-        spread.groupBy(*keys, "_b")
-        .agg(F.collect_set(geom).alias("_g"))
-        .withColumn("_u", o.union_of("_g"))
-    )
-    return (
-        first.groupBy(*keys)
-        .agg(F.collect_list("_u").alias("_g"))
-        .withColumn(geom, o.union_of("_g"))
-        .drop("_g")
-    )
+    first = computed(spread.groupBy(*keys, "_b").agg(F.collect_set(geom).alias("_g")), o.union_of("_g"), "_u")
+    met = first.groupBy(*keys).agg(F.collect_list("_u").alias("_g"))
+    return computed(met, o.union_of("_g"), geom).drop("_g")
 
 
 def erode(layer: DataFrame, d: float, geom: str = "geom") -> DataFrame:

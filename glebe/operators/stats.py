@@ -10,7 +10,7 @@ from glebe.functions import overlay as o
 from glebe.operators import modes
 from glebe.operators.joins import grid_cells, knn_join, lattice_origin, on_grid, points_in_cells, spatial_join
 from glebe.operators.ground import united_size
-from glebe.operators.layers import dissolve
+from glebe.operators.layers import computed, dissolve
 
 OUT = [
     "id_cell",
@@ -36,8 +36,7 @@ def _sized(data: DataFrame, size) -> DataFrame:
 
 def _pieces(cells: DataFrame, data: DataFrame, tile: float, hot_rows: int | None) -> DataFrame:
     pairs = spatial_join(data, cells.select("id_cell", "cell_area", "geom"), "intersects", tile, hot_rows)
-    cut = o.intersection("geom_b", "geom_a")
-    return pairs.withColumn("geom", cut).drop("geom_a", "geom_b")
+    return computed(pairs, o.intersection("geom_b", "geom_a")).drop("geom_a", "geom_b")
 
 
 def _finish(pieces: DataFrame) -> DataFrame:
