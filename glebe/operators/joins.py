@@ -226,6 +226,9 @@ def grid_cells(cells: DataFrame, size: float, origin: tuple[float, float] = (0.0
 # --------------------------------------------------------------------------- nearest
 
 
+ZONE = 2  # levels of the pyramid from the finest tiles up to the smallest zones
+
+
 def _shuffled(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join of two sides that are larger than Spark takes them for.
 
@@ -246,8 +249,9 @@ def knn_join(
     Tiles form a pyramid (each level twice as wide).  A cell picks the finest level
     whose 3x3 block around the centroid holds ``k`` points, the same for all cells whose
     centroids share a finest tile; the block's far corner then
-    bounds the k-th distance, and only non-empty tiles within that bound are read.  The
-    rank limit is applied per map task before the shuffle, so a tile holding most of the
+    bounds the k-th distance.  A zone of cells reads the non-empty tiles within its cells' bounds,
+    so a point is sent to a few zones and not to every cell it might serve.  The
+    rank limit is applied per map task before the last shuffle, so a tile holding most of the
     points sends ``k`` rows per cell and task, not all of them.
 
     ``points`` carry ``point_id`` for ties.  Output: cell columns, ``by``, point columns,
@@ -302,45 +306,58 @@ def knn_join(
         .agg(F.min(F.struct("_l", "_ox", "_oy", "_n3")).alias("_m"))
         .select(*by, "_sx", "_sy", "_m.*")
     )
-    # sqrt(8) tile widths at most: three tiles to each side
-    near = (
-        chosen.select(*by, "_l", "_ox", "_oy").distinct()
-        .withColumn("_px", around("_ox", 3))
-        .withColumn("_py", around("_oy", 3))
-    )
-    near = _shuffled(near, parents.drop("_n"), [*by, "_l", "_px", "_py"]).drop("_px", "_py")
-    # distance to the far corner of the 3x3 block: the k-th neighbour is not beyond it
-    far_x = F.greatest(
-        F.col("_cx") - (F.col("_ox") - 1) * width, (F.col("_ox") + 2) * width - F.col("_cx")
+    # cells that share a level and a zone are served together: a zone is a tile of that level, or ZONE levels up for fine ones
+    zone = F.greatest(F.col("_l"), F.lit(min(ZONE, levels)))
+    side = F.pow(F.lit(2.0), F.col("_g"))
+    at = ["_g", "_bx", "_by"]
+    chosen = (
+        chosen.withColumn("_g", zone)
+        .withColumn("_bx", F.floor(F.col("_sx") / side))
+        .withColumn("_by", F.floor(F.col("_sy") / side))
     )
-    far_y = F.greatest(
-        F.col("_cy") - (F.col("_oy") - 1) * width, (F.col("_oy") + 2) * width - F.col("_cy")
+
+    def beyond(lo: Column, hi: Column, o: str) -> Column:
+        """From a stretch to the far border of the 3x3 block along one axis."""
+        return F.greatest(hi - (F.col(o) - 1) * width, (F.col(o) + 2) * width - lo)
+
+    def reach(x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
+        # distance to the far corner of the 3x3 block: the k-th neighbour is not beyond it
+        far = F.hypot(beyond(x0, x1, "_ox"), beyond(y0, y1, "_oy"))
+        return F.when(F.col("_n3") >= k, far).otherwise(F.lit(float("inf")))
+
+    sx, sy = F.col("_sx"), F.col("_sy")
+    zones = chosen.withColumn("_r", reach(sx * tile, (sx + 1) * tile, sy * tile, (sy + 1) * tile)).groupBy(*by, *at).agg(
+        F.min("_sx").alias("_x0"), F.max("_sx").alias("_x1"), F.min("_sy").alias("_y0"), F.max("_sy").alias("_y1"), F.max("_r").alias("_r")
     )
-    reach = F.when(F.col("_n3") >= k, F.hypot(far_x, far_y)).otherwise(F.lit(float("inf")))
-    asking = _shuffled(spots, chosen, ["_sx", "_sy"]).withColumn("_r", reach).drop("_sx", "_sy", "_n3")
+    # sqrt(8) tile widths of their level at most: three zones to each side
+    near = zones.withColumn("_px", around("_bx", 3)).withColumn("_py", around("_by", 3))
+    filled = parents.drop("_n").withColumnRenamed("_l", "_g")
 
-    def gap(c: Column, t: Column) -> Column:
-        return F.greatest(t * tile - c, c - (t + 1) * tile, F.lit(0.0))
+    def gap(lo: str, hi: str, t: str) -> Column:
+        return F.greatest(F.col(lo) - F.col(t) - 1, F.col(t) - F.col(hi) - 1, F.lit(0)) * tile
 
-    tiles = (
-        _shuffled(asking, near, [*by, "_l", "_ox", "_oy"])
-        .filter(
-            F.hypot(gap(F.col("_cx"), F.col("_tx")), gap(F.col("_cy"), F.col("_ty")))
-            <= F.col("_r")
-        )
-        .select(*by, "id_cell", "_cx", "_cy", "_r", "_tx", "_ty")
+    near = (
+        _shuffled(near, filled, [*by, "_g", "_px", "_py"])
+        .filter(F.hypot(gap("_x0", "_x1", "_tx"), gap("_y0", "_y1", "_ty")) <= F.col("_r"))
+        .select(*by, *at, "_tx", "_ty")
+    )
+    placed = (
+        _shuffled(pts.withColumn("_x", F.col("geom.xmin")).withColumn("_y", F.col("geom.ymin")), near, [*by, "_tx", "_ty"])
+        .drop("_tx", "_ty")
     )
+    cx, cy = F.col("_cx"), F.col("_cy")
+    asking = _shuffled(spots, chosen, ["_sx", "_sy"]).withColumn("_r", reach(cx, cx, cy, cy))
+    asking = asking.select(*by, *at, "id_cell", "_cx", "_cy", "_r")
+    # the join keeps the cells of a zone in memory, its points stream by
     candidates = (
-        _shuffled(tiles, pts, [*by, "_tx", "_ty"])
-        .withColumn(
-            "distance",
-            F.hypot(F.col("geom.xmin") - F.col("_cx"), F.col("geom.ymin") - F.col("_cy")),
-        )
+        _shuffled(placed, asking, [*by, *at])
+        .withColumn("distance", F.hypot(F.col("_x") - cx, F.col("_y") - cy))
         .filter(F.col("distance") <= F.col("_r"))
-        .drop("_tx", "_ty", "_cx", "_cy", "_r")
+        .drop(*at, "_x", "_y", "_cx", "_cy", "_r")
     )
     order = W.partitionBy(*by, "id_cell").orderBy("distance", "point_id")
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select(*by, "id_cell", *[c for c in points.columns if c not in by], "distance", "rank")
 
 
 def _pyramid_height(cells: DataFrame, points: DataFrame, tile: float) -> int:
